@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, neardup, packing, quality, secrets, token_counts, token_store, topk
+from . import language_id, licences, mixing, neardup, packing, quality, secrets, token_counts, token_store, topk
 
 QUERIES = {
     "op1_quality_rules": quality.query,
+    "op2_language_id": language_id.query,
     "op3_best_fit_packing": packing.query,
     "op4_token_store": token_store.query,
+    "op5_licence_scan": licences.query,
     "op6_token_counts": token_counts.query,
     "op7_minhash_near_dedup": neardup.query,
     "op8_secret_scan": secrets.query,
