@@ -19,12 +19,11 @@ of texts, each at 0.8 or more to the next, connects them.
    with probability (1 - 0.8**5)**30 < 1e-5.
 4. In a bucket every text is compared with a hub, the text that has the most
    company over all its buckets (in a group of copies, the one they stem from).
-   Verified links give components. Only buckets that still hold several
-   components go on: again with a hub of another component where much is left
-   to compare, then all pairs across components. Large buckets of many
-   components are texts that share a common passage; they are dealt anew by
-   pairs of bands, which a true pair passes but for 1e-4, so their pairs are
-   never all made. Nothing is capped.
+   Verified links give components. Buckets that still hold several components
+   are compared across them by finer sketches (FINE components, made for these
+   texts alone), in blocks, and
+   only pairs whose estimate is at most MARGIN (four deviations) below the
+   threshold go on. Nothing is capped, and pairs are never all made.
 5. Every pair is verified on the multisets of the two whole texts.
 
 Components come from alternating star contractions over tables in the shared
@@ -46,7 +45,9 @@ from .common import as_table, in_pieces
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 5
 M = BANDS * ROWS
-PIECE, DENSE = 1_500_000, 64
+PIECE, BLOCK = 1_500_000, 1024
+#: Sketches estimate the similarity with a deviation of (0.8 * 0.2 / FINE) ** 0.5 = 0.014 at 0.8.
+FINE, MARGIN = 800, 0.06
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -96,8 +97,8 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return doc[:n][inside], mix(value[inside])
 
 
-def bag_signatures(doc: np.ndarray, shingle: np.ndarray, n_docs: int) -> np.ndarray:
-    """The signature (n_docs, M) of 32-bit codes; rows of texts without shingles are meaningless."""
+def bag_signatures(doc: np.ndarray, shingle: np.ndarray, n_docs: int, m: int) -> np.ndarray:
+    """The signature (n_docs, m) of 32-bit codes; rows of texts without shingles are meaningless."""
     key = np.sort((doc.astype("u8") << np.uint64(48)) | (shingle >> np.uint64(16)))
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, "i8")
     weight = np.diff(np.concatenate([new, [len(key)]]))
@@ -114,7 +115,7 @@ def bag_signatures(doc: np.ndarray, shingle: np.ndarray, n_docs: int) -> np.ndar
     seed = mix(seed[who] + (low.astype("u8") + np.uint64(1)) * _PRIME)
     partial = low + length > limit
     time = np.zeros(len(who))
-    sig = np.full(n_docs * M, np.inf)
+    sig = np.full(n_docs * m, np.inf)
     latest = np.full(n_docs, np.inf)
     code = np.arange(len(who))
     turn = 0
@@ -125,7 +126,7 @@ def bag_signatures(doc: np.ndarray, shingle: np.ndarray, n_docs: int) -> np.ndar
         early = time[code] < latest[text[code]]
         code, h = code[early], h[early]
         h2 = mix(h + _PRIME)
-        slot = text[code] * M + (((h2 >> np.uint64(32)) * np.uint64(M)) >> np.uint64(32)).astype("i8")
+        slot = text[code] * m + (((h2 >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype("i8")
         ok = slice(None)
         if partial[code].any():
             place = low[code] + length[code] * ((h2 & np.uint64(0xFFFFFFFF)).astype("f8") * 2.0**-32)
@@ -133,10 +134,10 @@ def bag_signatures(doc: np.ndarray, shingle: np.ndarray, n_docs: int) -> np.ndar
         np.minimum.at(sig, slot[ok], time[code][ok])
         if turn < 8 or turn % 4 == 0:
             some = np.unique(text[code]) if turn >= 8 else slice(None)
-            latest[some] = sig.reshape(n_docs, M)[some].max(1)
+            latest[some] = sig.reshape(n_docs, m)[some].max(1)
         code = code[time[code] < latest[text[code]]]
     # single precision: a logarithm may differ in its last bit between machines or vector lengths
-    return mix(sig.astype("f4").view("u4").astype("u8")).reshape(n_docs, M)
+    return mix(sig.astype("f4").view("u4").astype("u8")).reshape(n_docs, m)
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
@@ -147,7 +148,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, k1, k2 (the text's hashes; null without text), n (shingles) and bands (array<long>, empty without shingles)."""
+    """doc_id, k1, k2 (the text's hashes; null without text), n (shingles), bands (array<long>, empty without shingles)."""
     keyed = docs.select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("k1"), F.when(F.col("text").isNotNull(), F.xxhash64(F.lit(7), F.col("text"))).alias("k2"), "text")
 
     def run(batches):
@@ -159,7 +160,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     b = min(hi, a + 30_000)
                     doc, values = shingles(texts[a:b])
                     n = np.bincount(doc, minlength=b - a)
-                    bands = band_keys(bag_signatures(doc, values, b - a))
+                    bands = band_keys(bag_signatures(doc, values, b - a, M))
                     n_all += n.tolist()
                     bands_all += [row if k else [] for k, row in zip(n.tolist(), bands)]
             out = [batch.column(c) for c in ("doc_id", "k1", "k2")] + [pa.array(n_all, pa.int64()), pa.array(bands_all, pa.list_(pa.int64()))]
@@ -230,11 +231,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = as_table(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "signatures")
     firsts = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     firsts = as_table(firsts.select("k1", "k2", F.col("first.row").alias("id"), F.col("first.doc_id").alias("doc_id"), "n", "bands"), "texts")
-    band = firsts.select("id", "n", F.explode("bands").alias("b"))
+    band = firsts.select("id", "n", F.posexplode("bands").alias("k", "b"))
     many = band.groupBy("b").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = band.join(many, "b")
     score = shared.groupBy("id").agg(F.sum("size").alias("score"))
-    shared = as_table(shared.join(score, "id").select("b", "id", "n", "score"), "buckets")
+    shared = as_table(shared.join(score, "id").select("b", "k", "id", "n", "score"), "buckets")
     comps = _linked(docs, firsts, shared, threshold)
     named = firsts.select("id", "k1", "k2", F.col("doc_id").alias("text_class")).join(comps, "id", "left")
     least = named.groupBy(F.coalesce("comp", "id").alias("comp")).agg(F.min("text_class").alias("class_id"))
@@ -255,36 +256,18 @@ def _linked(docs: DataFrame, firsts: DataFrame, shared: DataFrame, threshold: fl
         pairs = buckets.join(hubs, "b").where((F.col("id") != F.col("hub")) & _similar_length("n", "hub_n", threshold))
         return pairs.select("id", "hub").distinct()
 
-    best = lambda: F.max(F.struct("score", (-F.col("id")).alias("i"), "n")).alias("h")
-    as_hubs = lambda df: df.select("b", (-F.col("h.i")).alias("hub"), F.col("h.n").alias("hub_n"))
-    tried = as_table(stars(shared, as_hubs(shared.groupBy("b").agg(best()))), "pairs")
+    hub = F.max(F.struct("score", (-F.col("id")).alias("i"), "n")).alias("h")
+    hubs = shared.groupBy("b").agg(hub).select("b", (-F.col("h.i")).alias("hub"), F.col("h.n").alias("hub_n"))
+    tried = shared.join(hubs, "b").where((F.col("id") != F.col("hub")) & _similar_length("n", "hub_n", threshold))
+    tried = as_table(tried.select("id", "hub").distinct(), "pairs")
     links = as_table(_verified(tried, texts, threshold), "links")
     comps = as_table(components(links), "components")
 
-    def open_buckets() -> DataFrame:
-        """Rows of buckets with several components: b, id, n, score, comp, size and cross (pairs across components)."""
-        marked = shared.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        each = marked.groupBy("b", "comp").agg(F.count(F.lit(1)).alias("k"), best())
-        whole = each.groupBy("b").agg(F.sum("k").alias("size"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("cross"), F.max(F.struct("k", "comp")).alias("main")).where("cross > 0")
-        return as_table(marked.join(whole.select("b", "size", "cross", F.col("main.comp").alias("main")), "b"), "open")
-
-    rest = open_buckets()
-    dense = rest.where(F.col("cross") > DENSE * F.col("size"))
-    if dense.limit(1).count():
-        others = as_hubs(dense.where("comp <> main").groupBy("b").agg(best()))
-        pairs = as_table(stars(dense.select("b", "id", "n"), others).join(tried, ["id", "hub"], "left_anti"), "pairs")
-        more = as_table(_verified(pairs, texts, threshold), "links")
-        tried, links = tried.union(pairs), links.union(more)
-        comps = as_table(components(comps.select("id", F.col("comp").alias("hub")).union(more)), "components")
-        rest = open_buckets()
-    if not rest.limit(1).count():
-        return comps
-    few = rest.where(F.col("cross") <= DENSE * F.col("size")).select("b", "id", "n", "comp")
-    crowd = rest.where(F.col("cross") > DENSE * F.col("size")).select("b", "id", "n", "comp").join(firsts.select("id", "bands"), "id")
-    crowd = crowd.select("b", "id", "n", "comp", F.explode("bands").alias("b2")).where("b2 <> b").select(F.xxhash64("b", "b2").alias("b"), "id", "n", "comp")
-    fine = few.union(crowd)
-    pairs = fine.alias("x").join(fine.alias("y"), "b").where("x.comp <> y.comp and x.id > y.id").where(_similar_length("x.n", "y.n", threshold))
-    pairs = pairs.select(F.col("x.id").alias("id"), F.col("y.id").alias("hub")).distinct()
+    marked = shared.select("b", "k", "id", "n").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    several = marked.groupBy("b").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("b", "size")
+    mixed = as_table(marked.join(several, "b"), "mixed")
+    sources = mixed.select("id").distinct().join(texts, "id").join(firsts.select("id", "bands"), "id")
+    pairs = _across(mixed, _sketches(sources), threshold)
     known = tried.union(tried.select(F.col("hub").alias("id"), F.col("id").alias("hub")))
     pairs = as_table(pairs.join(known, ["id", "hub"], "left_anti"), "pairs")
     more = as_table(_verified(pairs, texts, threshold), "links")
@@ -293,6 +276,71 @@ def _linked(docs: DataFrame, firsts: DataFrame, shared: DataFrame, threshold: fl
     return as_table(components(comps.select("id", F.col("comp").alias("hub")).union(more)), "components")
 
 
+def _sketches(texts: DataFrame) -> DataFrame:
+    """id, tags (32 bits of each band) and sketch (8 bits of FINE components) of id, text and bands."""
+
+    def run(batches):
+        for batch in batches:
+            bodies = batch.column("text").to_pylist()
+            tags = [np.array(x, "i8").astype("<u4").tobytes() for x in batch.column("bands").to_pylist()]
+            rows = []
+            for lo, hi in in_pieces(bodies, PIECE // 4):
+                doc, values = shingles(bodies[lo:hi])
+                rows += [x.tobytes() for x in (bag_signatures(doc, values, hi - lo, FINE) & np.uint64(255)).astype("u1")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(tags, pa.binary()), pa.array(rows, pa.binary())], ["id", "tags", "sketch"])
+
+    return texts.select("id", "text", "bands").mapInArrow(run, "id long, tags binary, sketch binary")
+
+
+def _across(rows: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (id, hub) across components within a bucket (b, k, id, n, comp, size) whose sketches leave the threshold possible.
+
+    A bucket is dealt into blocks of about BLOCK rows; a task holds two blocks, compares their sketches as arrays
+    and gives out only the pairs that may reach the threshold, each in the first band that it shares.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    dealt = rows.select("b", "k", "id", "n", "comp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.select("b", "k", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "n", "comp").join(sketches, "id")
+    least = threshold - MARGIN
+    inputs = ("mine", "id", "n", "comp", "tags", "sketch")
+
+    def close(group, held):
+        if len(held) < 2:
+            return
+        _, k, i, j = group
+        mine, ids, sizes, comps, tags, sketch = zip(*held)
+        mine, ids, sizes, comps = (np.array(x) for x in (mine, ids, sizes, comps))
+        tags, sketch = np.frombuffer(b"".join(tags), "<u4").reshape(len(held), -1), np.frombuffer(b"".join(sketch), "u1").reshape(len(held), -1)
+        for x in range(len(held) - 1):
+            ok = (comps[x + 1 :] != comps[x]) & (np.minimum(sizes[x + 1 :], sizes[x]) >= threshold * np.maximum(sizes[x + 1 :], sizes[x]))
+            if i != j:
+                ok &= mine[x + 1 :] != mine[x]
+            at = np.flatnonzero(ok) + x + 1
+            if at.size:
+                at = at[~(tags[at, :k] == tags[x, :k]).any(1)]
+                at = at[(sketch[at] == sketch[x]).mean(1) >= least]
+                yield from ((max(ids[x], y), min(ids[x], y)) for y in ids[at].tolist())
+
+    def run(batches):
+        group, held = None, []
+        emit = lambda found: pa.RecordBatch.from_arrays([pa.array([int(p[c]) for p in found], pa.int64()) for c in (0, 1)], ["id", "hub"])
+        for batch in batches:
+            found = []
+            for *key, a, b, c, d, e, f in zip(*(batch.column(c).to_pylist() for c in ("b", "k", "i", "j", *inputs))):
+                if key != group:
+                    found += close(group, held)
+                    group, held = key, []
+                held.append((a, b, c, d, e, f))
+            if found:
+                yield emit(found)
+        if found := [*close(group, held)]:
+            yield emit(found)
+
+    dealt = dealt.select("b", "k", "i", "j", *inputs).repartition("b", "i", "j").sortWithinPartitions("b", "i", "j")
+    return dealt.mapInArrow(run, "id long, hub long")
+
+
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each class, of those with the least doc_id; rows without text or id all stay."""
     classes = near_duplicates(docs, threshold).where("doc_id <> class_id").select("doc_id").distinct()
