@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def stable_id(namespace: str, key: Column, prefix: str = "ambrel") -> Column:
@@ -13,7 +14,7 @@ def stable_id(namespace: str, key: Column, prefix: str = "ambrel") -> Column:
     return (F.conv(digest, 16, 10).cast("decimal(20,0)") % F.lit("9223372036854775808").cast("decimal(20,0)")).cast("bigint")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc_casefold(text: pd.Series) -> pd.Series:
     """Unicode NFKC, stripped, case-folded; Spark has no built-in for it."""
     import unicodedata
