@@ -23,6 +23,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 import zlib
 
 import numpy as np
@@ -33,8 +34,12 @@ from pyspark.sql import Window as W
 
 from .common import in_pieces, new_path
 
-END_ID, WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 2, 16, 64, 8, 1024
+END_ID, WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 2, 8, 64, 8, 1024
 CACHED_WORDS, PIECE = 300_000, 4_000_000
+#: Code points whose lower case Python and the library agree on.
+TRUSTED = re.compile("[^\t-\r -~\xa0-ʯΑ-ΡΣ-ώЀ-џ‐-‧€]")
+#: A full stop or comma beside another mark: the tokenizer may take them as one word.
+MARKS = re.compile(r"[.,](?:(?<=[^\w\s].)|(?<=_.)|(?=[^\w\s]|_))")
 #: White space to Python's split() that the tokenizer's word pattern does not take for space.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -43,9 +48,14 @@ class WordEncoder:
     """Ids of whole texts from the library's ids of their words.
 
     Words are the stretches between white space; the tokenizer drops white space and lets no token span it,
-    so a text's ids are those of its words in order. Words met before come from a cache.
+    so a text's ids are those of its words in order. Where a full stop or comma stands beside no other mark, it
+    is a word of its own to the tokenizer and is split off, and texts of TRUSTED code points are lower-cased first, as
+    the tokenizer would. Words met before come from a cache of two generations; new ones go to the library together,
+    with a marker word between them.
     """
 
+    MARK = "\x01"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -54,24 +64,49 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        (self.mark,) = self.library.encode(self.MARK, add_special_tokens=False).ids
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids_of(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def words(self, text: str) -> list[str] | None:
+        """None where the text must go to the library whole."""
+        if any(c in text for c in ODD_SPACE) or self.MARK in text:
+            return None
+        if not TRUSTED.search(text):
+            text = text.replace("Σ", "σ").lower()
+            if not MARKS.search(text):
+                text = text.replace(".", " . ").replace(",", " , ")
+        return text.split()
+
+    def learn(self, words: list[str]) -> None:
+        for i in range(0, len(words), 5000):
+            some = words[i : i + 5000]
+            ids = np.array(self.library.encode(f" {self.MARK} ".join(some), add_special_tokens=False).ids, self.dtype)
+            at = np.flatnonzero(ids == self.mark) * ids.itemsize
+            if len(at) != len(some) - 1:
+                raise AssertionError("a word holds the marker")
+            data = ids.tobytes()
+            self.new.update(zip(some, map(data.__getitem__, map(slice, [0, *(at + ids.itemsize).tolist()], [*at.tolist(), len(data)]))))
 
     def encode(self, texts: list[str], end_id: int):
         """The ids of each text, as arrays."""
         end = np.array([end_id], self.dtype).tobytes()
         for lo, hi in in_pieces(texts, PIECE):
-            if len(self.cache) > CACHED_WORDS:
-                self.cache.clear()
-            split = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts[lo:hi]]
-            get = self.cache.get
-            new = list({w for words in split if words for w in words if w not in self.cache})
-            for i in range(0, len(new), 20_000):
-                some = new[i : i + 20_000]
-                for w, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                    self.cache[w] = np.array(e.ids, self.dtype).tobytes()
+            if len(self.new) > CACHED_WORDS:
+                self.old, self.new = self.new, {}
+            split = [self.words(t) for t in texts[lo:hi]]
+            missing = set().union(*(w for w in split if w is not None)).difference(self.new)
+            if self.old:
+                kept = missing.intersection(self.old)
+                self.new.update((w, self.old[w]) for w in kept)
+                missing -= kept
+            self.learn(list(missing))
+            get = self.new.__getitem__
             for t, words in zip(texts[lo:hi], split):
-                data = np.array(self.library.encode(t, add_special_tokens=False).ids, self.dtype).tobytes() if words is None else b"".join(map(get, words))
-                yield np.frombuffer(data + end, self.dtype)
+                yield np.frombuffer((self.ids_of(t) if words is None else b"".join(map(get, words))) + end, self.dtype)
 
 
 @functools.lru_cache(maxsize=2)
@@ -94,7 +129,7 @@ def chunk_ends(ids: np.ndarray) -> list[int]:
     h = g.copy()
     for k in range(1, WINDOW):
         h[k:] += g[:-k] << np.uint64(k)
-    cuts = np.flatnonzero((h >> np.uint64(8)) & np.uint64((1 << MEAN_BITS) - 1) == 0) + 1
+    cuts = np.flatnonzero((h >> np.uint64(16)) & np.uint64((1 << MEAN_BITS) - 1) == 0) + 1
     ends, start = [], 0
     for c in [*cuts.tolist(), n]:
         while c - start > MAX_CHUNK:
