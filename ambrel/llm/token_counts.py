@@ -41,7 +41,8 @@ from .common import in_pieces
 LIMIT = 2048
 #: Texts with other code points go to the library: its Unicode version may know them otherwise.
 TRUSTED = re.compile("[^\t-\r -~\xa0-ʯΑ-ΡΣ-ώЀ-џ‐-‧€]")
-PIECE, CHUNKS, MAX_STATES = 4_000_000, 4096, 125_000
+PIECE, CHUNKS, MAX_STATES = 2_000_000, 4096, 98_000
+GROWTH = 16_384
 UNKNOWN = 1  # state number; 0 is the start of a word
 
 
@@ -95,8 +96,8 @@ class Transducer:
     def reset(self) -> None:
         self.states: list = [(b"", ((-1, 0),)), None]
         self.number = {self.states[0]: 0}
-        self.next = np.full((1024, self.n_cols), -1, "i4")
-        self.out = np.zeros((1024, self.n_cols), "i1")
+        self.next = np.full((GROWTH, self.n_cols), -1, "i4")
+        self.out = np.zeros((GROWTH, self.n_cols), "i1")
         half = self.n_cols // 2
         self.next[UNKNOWN, :half], self.next[UNKNOWN, half:] = UNKNOWN, 0
 
@@ -158,8 +159,8 @@ class Transducer:
             self.number[new] = len(self.states)
             self.states.append(new)
             if len(self.states) > len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-                self.out = np.concatenate([self.out, np.zeros_like(self.out)])
+                self.next = np.concatenate([self.next, np.full((GROWTH, self.n_cols), -1, "i4")])
+                self.out = np.concatenate([self.out, np.zeros((GROWTH, self.n_cols), "i1")])
         self.next[state, col], self.out[state, col] = self.number[new], count
 
     def step(self, states: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
