@@ -35,7 +35,7 @@ from pyspark.sql import Window as W
 from .common import in_pieces, new_path
 
 END_ID, WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 2, 8, 64, 8, 1024
-CACHED_WORDS, PIECE = 300_000, 4_000_000
+CACHED_WORDS, PIECE = 600_000, 4_000_000
 #: Code points whose lower case Python and the library agree on.
 TRUSTED = re.compile("[^\t-\r -~\xa0-ʯΑ-ΡΣ-ώЀ-џ‐-‧€]")
 #: A full stop or comma beside another mark: the tokenizer may take them as one word.
