@@ -32,81 +32,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import in_pieces, new_path
+from .common import new_path
 
 END_ID, WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 2, 8, 64, 8, 1024
-CACHED_WORDS, PIECE = 600_000, 4_000_000
 #: Code points whose lower case Python and the library agree on.
 TRUSTED = re.compile("[^\t-\r -~\xa0-ʯΑ-ΡΣ-ώЀ-џ‐-‧€]")
-#: A full stop or comma beside another mark: the tokenizer may take them as one word.
-MARKS = re.compile(r"[.,](?:(?<=[^\w\s].)|(?<=_.)|(?=[^\w\s]|_))")
-#: White space to Python's split() that the tokenizer's word pattern does not take for space.
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
+#: What the tokenizer takes for words of their own beside runs of letters (of TRUSTED code points).
+NOT_LETTERS = re.compile(r"'(?:[stmd]|re|ve|ll)|[0-9²³¹¼½¾]|(?:[^\s\w]|_)+")
+#: The same without the apostrophe's cases, in classes that the regex engine scans for fast.
+DIGIT = re.compile("[0-9²³¹¼½¾]")
+MARKS = re.compile("[%s]+" % re.escape("".join(sorted({c for t in map(chr, range(0x20AD)) if not TRUSTED.match(t) for c in t.lower() if re.match(r"[^\s\w]|_", c)}))))
 
 
 class WordEncoder:
-    """Ids of whole texts from the library's ids of their words.
+    """Ids of whole texts of a vocabulary with word ends, numbered in merge order.
 
-    Words are the stretches between white space; the tokenizer drops white space and lets no token span it,
-    so a text's ids are those of its words in order. Where a full stop or comma stands beside no other mark, it
-    is a word of its own to the tokenizer and is split off, and texts of TRUSTED code points are lower-cased first, as
-    the tokenizer would. Words met before come from a cache of two generations; new ones go to the library together,
-    with a marker word between them.
+    The file's merges, read as ranks, drive the faster tiktoken core, where a space after each word stands for its
+    end: letters with a word end have lower ids than all merges, so a word's end joins its last letter first, as it
+    stands from the beginning in the library. Texts with special strings or code points outside TRUSTED go to the
+    library whole.
     """
 
-    MARK = "\x01"
+    END = "</w>"
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
+        from .token_counts import byte_letters
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        (self.mark,) = self.library.encode(self.MARK, add_special_tokens=False).ids
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def ids_of(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def words(self, text: str) -> list[str] | None:
-        """None where the text must go to the library whole."""
-        if any(c in text for c in ODD_SPACE) or self.MARK in text:
-            return None
-        if not TRUSTED.search(text):
-            text = text.replace("Σ", "σ").lower()
-            if not MARKS.search(text):
-                text = text.replace(".", " . ").replace(",", " , ")
-        return text.split()
-
-    def learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 5000):
-            some = words[i : i + 5000]
-            ids = np.array(self.library.encode(f" {self.MARK} ".join(some), add_special_tokens=False).ids, self.dtype)
-            at = np.flatnonzero(ids == self.mark) * ids.itemsize
-            if len(at) != len(some) - 1:
-                raise AssertionError("a word holds the marker")
-            data = ids.tobytes()
-            self.new.update(zip(some, map(data.__getitem__, map(slice, [0, *(at + ids.itemsize).tolist()], [*at.tolist(), len(data)]))))
+        special = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        self.special = [t.lower() for t in special]  # a text may hold them in any case: lower-casing comes after
+        letters = byte_letters()
+        ranks = {}
+        for token, i in self.library.get_vocab(False).items():
+            if token not in special:
+                body = token.removesuffix(self.END)
+                ranks[bytes(letters[c] for c in body) + b" " * (body != token)] = i
+        self.fast = tiktoken.Encoding("ranks", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+
+    def ids_of(self, text: str) -> np.ndarray:
+        lower = text.replace("Σ", "σ").lower()
+        if TRUSTED.search(text) or any(s in lower for s in self.special):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype)
+        apart = NOT_LETTERS.sub(r" \g<0> ", lower) if "'" in lower else DIGIT.sub(r" \g<0> ", MARKS.sub(r" \g<0> ", lower))
+        words = apart.split()
+        return self.fast.encode_to_numpy(" ".join(words) + " ", disallowed_special=()).astype(self.dtype) if words else np.zeros(0, self.dtype)
 
     def encode(self, texts: list[str], end_id: int):
-        """The ids of each text, as arrays."""
-        end = np.array([end_id], self.dtype).tobytes()
-        for lo, hi in in_pieces(texts, PIECE):
-            if len(self.new) > CACHED_WORDS:
-                self.old, self.new = self.new, {}
-            split = [self.words(t) for t in texts[lo:hi]]
-            missing = set().union(*(w for w in split if w is not None)).difference(self.new)
-            if self.old:
-                kept = missing.intersection(self.old)
-                self.new.update((w, self.old[w]) for w in kept)
-                missing -= kept
-            self.learn(list(missing))
-            get = self.new.__getitem__
-            for t, words in zip(texts[lo:hi], split):
-                yield np.frombuffer((self.ids_of(t) if words is None else b"".join(map(get, words))) + end, self.dtype)
+        """The ids of each text, as arrays; copies next to each other in a batch are encoded once."""
+        end, met = np.array([end_id], self.dtype), {}
+        for text in texts:
+            if text not in met:
+                met[text] = np.append(self.ids_of(text), end)
+            yield met[text]
 
 
 @functools.lru_cache(maxsize=2)

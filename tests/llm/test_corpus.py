@@ -93,6 +93,16 @@ def test_token_store_round_trip(spark, tmp_path):
     assert made["ids"] == start
 
 
+def test_word_encoder_against_the_library():
+    library, machine, r = Tokenizer.from_file(WORD), token_store.WordEncoder(WORD), random.Random(7)
+    letters = "abcdez '’.,_-!\"#0129ABZÀéß²½ªµİſΣσς\n\tжЯ€‘ xst're'll<|"
+    texts = ["<|ENDOFTEXT|> a", "x<|EndOfText|>y", "<|endoftext|>.", *[t or "" for t in ODD]]
+    texts += ["".join(r.choice(letters) for _ in range(r.randint(0, 25))) for _ in range(5000)]
+    texts += [f"a{chr(c)}b {chr(c)}{chr(c)}1{chr(c)}" for c in range(0x2100)]
+    for text, ids in zip(texts, machine.encode(texts, 2), strict=True):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], text
+
+
 def test_packing(spark):
     texts = [*ODD, *prose(60, 4, 90), " ".join(prose(1, 5, 9000)), *prose(5, 4, 90)]
     library = Tokenizer.from_file(BYTE)
