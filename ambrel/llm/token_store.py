@@ -101,7 +101,7 @@ def encoder(path: str) -> WordEncoder:
 @functools.lru_cache(maxsize=1)
 def _gear() -> np.ndarray:
     """A random number for the low 16 bits of an id."""
-    return np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 63, 1 << 16, dtype="u8")
+    return np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 32, 1 << 16, dtype="u4")
 
 
 def chunk_ends(ids: np.ndarray) -> list[int]:
@@ -112,8 +112,8 @@ def chunk_ends(ids: np.ndarray) -> list[int]:
     g = _gear()[ids & 0xFFFF]
     h = g.copy()
     for k in range(1, WINDOW):
-        h[k:] += g[:-k] << np.uint64(k)
-    cuts = np.flatnonzero((h >> np.uint64(16)) & np.uint64((1 << MEAN_BITS) - 1) == 0) + 1
+        h[k:] += g[:-k] << np.uint32(k)
+    cuts = np.flatnonzero(h & np.uint32(((1 << MEAN_BITS) - 1) << 16) == 0) + 1
     ends, start = [], 0
     for c in [*cuts.tolist(), n]:
         while c - start > MAX_CHUNK:
@@ -232,13 +232,15 @@ def read_digests(spark, path: str, width: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            items = batch.column("items").to_pylist()
+            items = batch.column("items")
+            hashes, sizes, sums = (items.flatten().field(k).to_pylist() for k in ("hash", "n", "crc"))
+            ends = items.offsets.to_numpy() - items.offsets[0].as_py()
             n, crc = [], []
-            for row, root in zip(items, batch.column("root").to_pylist()):
-                if address(b"".join(i["hash"] for i in row)) != root or any(i["n"] is None for i in row):
+            for a, b, root in zip(ends[:-1].tolist(), ends[1:].tolist(), batch.column("root").to_pylist()):
+                if None in sizes[a:b] or address(b"".join(hashes[a:b])) != root:
                     raise ValueError("a document's chunks do not give its root")
-                n.append(sum(i["n"] for i in row))
-                crc.append(crc_join((i["crc"], 4 * i["n"]) for i in row))
+                n.append(sum(sizes[a:b]))
+                crc.append(crc_join(zip(sums[a:b], [4 * k for k in sizes[a:b]])))
             out = [batch.column("row"), batch.column("part"), batch.column("doc_id"), batch.column("root"), pa.array(n, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(out, ["row", "part", "doc_id", "root", "n_tokens", "ids_crc32"])
 
