@@ -75,6 +75,7 @@ def character_issues(characters: DataFrame, forbidden: str | None = None) -> Dat
         "real_sub_type": ~_in(c("realSubType"), [1, 2]),
         "entity_type": ~_in(c("creativeEntityType"), ENTITY_TYPES),
         "gender": ~_between(c("gender"), 0, 3),
+        "organisation_gender": _in(c("creativeEntityType"), ENTITY_TYPES[1:]) & ~c("gender").eqNullSafe(0),
         "field": ~F.when(china, _between(c("field"), 0, 10)).otherwise(_between(c("field"), 0, 8)),
         "dynasty": c("dynasty").isNotNull() & (~c("dynasty").between(1, 21) | (c("dynasty") == 8)),
         "country_code": c("countryCode").isNotNull() & ~c("countryCode").rlike(COUNTRY),

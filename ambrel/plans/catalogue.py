@@ -12,9 +12,13 @@ from pyspark.sql import Window as W
 
 from ..functions import scalar as S
 from ..operators import evaluation as E
+from ..operators import names as N
 from ..operators import relational as R
+from ..operators import runs as G
 from ..operators import scoring as K
+from ..sources import texts as X
 from ..sources.tables import table
+from ..streaming import events as V
 
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
@@ -31,13 +35,19 @@ def query(sql: str | None = None):
     return add
 
 
-def keeper(spark):
-    """Writes a table in the shared folder and reads it back; a folder of its own only under a local master."""
+def shared_home(spark) -> str:
+    """The shared folder; one of its own only under a local master."""
     home = spark.conf.get("spark.checkpoint.dir", None)
     if not home:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         home = tempfile.mkdtemp(prefix="ambrel-")
+    return home.rstrip("/")
+
+
+def keeper(spark):
+    """Writes a table in the shared folder and reads it back."""
+    home = shared_home(spark)
 
     def keep(df: DataFrame) -> DataFrame:
         path = f"{home}/kept-{uuid.uuid4().hex}"
@@ -428,6 +438,78 @@ def scaffold_grid(spark, d):
     return grid.join(counts, (F.col("r_regionkey") == F.col("n_regionkey")) & (F.col("segment") == F.col("c_mktsegment")), "left").select("r_name", "segment", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+@query("SELECT event_id, (props->>'$.k')::BIGINT AS k, NULL::VARCHAR AS error FROM events")
+def model_json_repair(spark, d):
+    """Properties as a careless model would write them: fenced, with a trailing comma, the last brace lost."""
+    broken = F.concat(F.lit("```json\n"), F.regexp_replace("props", r"\}$", ","), F.lit("\n```"))
+    found = table(spark, d, "events").select("event_id", X.repaired_json(F.regexp_replace(broken, r",\n", "\n")).alias("j"))
+    return found.select("event_id", F.try_variant_get(F.try_parse_json("j.value"), "$.k", "bigint").alias("k"), "j.error")
+
+
+@query("SELECT user_id, (floor((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) / 5))::BIGINT AS batch, event_id FROM events")
+def partial_arrays(spark, d):
+    """Arrays of five events that break off within a sixth object give all five."""
+    rows = table(spark, d, "events").select("user_id", "event_id", F.row_number().over(W.partitionBy("user_id").orderBy("event_id")).alias("r")).withColumn("batch", F.floor((F.col("r") - 1) / 5))
+    texts = rows.groupBy("user_id", "batch").agg(F.concat(F.lit("[ "), F.array_join(F.transform(F.sort_array(F.collect_list("event_id")), lambda e: F.format_string('{"event": %d, "note": "a ] } b"}', e)), ", "), F.lit(', {"event": 1')).alias("t"))
+    items = texts.select("user_id", "batch", F.explode(X.complete_objects("t")).alias("o"))
+    return items.select("user_id", "batch", F.try_variant_get(F.try_parse_json("o"), "$.event", "bigint").alias("event_id"))
+
+
+@query("SELECT p_partkey, regexp_extract_all(p_name || ' \"' || p_type || '\", \"' || p_brand || '\"', '\"([^\"]+)\"', 1)[2] AS second FROM part")
+def quoted_names(spark, d):
+    text = F.concat("p_name", F.lit(' "'), "p_type", F.lit('", "'), "p_brand", F.lit('"'))
+    return table(spark, d, "part").select("p_partkey", F.try_element_at(X.quoted_names(text), F.lit(2)).alias("second"))
+
+
+@query("SELECT doc_id, coalesce(b.kind, a.kind) AS kind FROM (SELECT doc_id, 'document' AS kind FROM documents) a FULL JOIN (SELECT DISTINCT doc_id, 'label' AS kind FROM labels) b USING (doc_id)")
+def merged_by_priority(spark, d):
+    """Labels come before documents; of each id the first row of the first source stays."""
+    side = lambda t, k: table(spark, d, t).select("doc_id", F.lit(k).alias("kind"), F.lit(0).alias("position"))
+    return X.by_priority([side("labels", "label"), side("documents", "document")], "doc_id", "position").select("doc_id", "kind")
+
+
+@query()
+def name_groups(spark, d):
+    """Parts' names in groups: without their last word, by case, by containment; tested against brute force."""
+    part = table(spark, d, "part")
+    return N.name_groups(part.select("p_name").union(part.select(F.upper("p_name"))), "p_name", keeper(spark))
+
+
+@query("SELECT lower(p_name) AS low, count(DISTINCT x) AS spellings FROM (SELECT p_name, p_name AS x FROM part UNION SELECT p_name, upper(p_name) FROM part) GROUP BY 1 HAVING count(DISTINCT x) > 1")
+def case_groups(spark, d):
+    part = table(spark, d, "part")
+    both = part.select("p_name").union(part.select(F.upper("p_name")))
+    links = N.linked_by(both, "p_name", F.lower("p_name"), "case")
+    return links.groupBy(F.lower("a").alias("low")).agg((F.count(F.lit(1)) + 1).alias("spellings"))
+
+
+@query("SELECT 'rolled_back' AS status, 0::BIGINT AS missing_before, (SELECT count(*) FROM orders WHERE o_orderkey % 100 = 0)::BIGINT AS missing_after, 0::BIGINT AS left_only, 0::BIGINT AS right_only")
+def run_rollback(spark, d):
+    """A run of changes is loaded and rolled back: the table is as before, and what the run had added is missing."""
+    old, new = _change(spark, d)
+    store = G.Store(spark, f"{shared_home(spark)}/runs-{uuid.uuid4().hex}")
+    store.write("orders", old)
+    run = store.load("orders", {"orders": ("o_orderkey", old.columns, new)})["run"]
+    loaded = store.status(run).select(F.col("missing").alias("missing_before"))
+    loaded = spark.createDataFrame(loaded.collect(), loaded.schema)  # one row; the table changes below
+    status = store.rollback(run)["status"]
+    after = store.status(run).select(F.lit(status).alias("status"), F.col("missing").alias("missing_after"))
+    same = R.set_differences(store.read("orders"), old).select("left_only", "right_only")
+    one = F.lit(1).alias("one")
+    rows = [x.select(one, "*") for x in (after, loaded, same)]
+    return rows[0].join(rows[1], "one").join(rows[2], "one").drop("one")
+
+
+@query("SELECT DISTINCT event_id, event_type FROM events")
+def stream_distinct_events(spark, d):
+    """The events as a stream, each once, appended to files and read back."""
+    home = f"{shared_home(spark)}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, d, "events").schema
+    stream = V.files(spark, f"{d}/events*.parquet", schema)
+    V.append_available(V.distinct(stream, ["event_id", "event_type"], "ts", "36500 days").select("event_id", "event_type"), f"{home}/out", f"{home}/checkpoint")
+    return spark.read.schema("event_id long, event_type string").parquet(f"{home}/out")
+
+
 @query()
 def recommendation_prior(spark, d):
     """The flagship: latest ratings, user and object vectors, similarity, ablations and within-user AUC."""

@@ -22,6 +22,8 @@ CASES = [
     ({"realSubType": 2}, {}, {"china_country", "china_dynasty"}),
     ({"id": "realCharacter_eval_001"}, {}, {"id_pattern", "id_year", "creator_missing", "edge_only_in_work", "edge_only_in_character"}),
     ({"introduction": "as an AI " + "x" * 100}, {}, {"introduction_phrase"}),
+    ({"creativeEntityType": 2}, {}, {"organisation_gender"}),
+    ({"creativeEntityType": 2, "gender": 0}, {}, set()),
     ({"names": []}, {"workName": " ", "year": 0}, {"names_empty", "work_name", "year"}),
     ({"names": [{"language": 1, "name": "A"}, {"language": 1, "name": " a "}]}, {}, {"name_duplicate", "name_standard_twice"}),
     ({"id": None}, {}, {"missing_id", "creator_missing", "edge_only_in_work"}),
