@@ -7,7 +7,8 @@ posterior(lang | page) ~ prior(lang | host) * P(text | lang) ** TEMPER
   on labelled documents: of each language the TRAIN_DOCS with the smallest id
   hash, a stated bound. The log likelihood is tempered (neighbouring trigrams are
   not independent).
-* Declared: the html element's lang attribute, as one of the known languages,
+* Declared: the html element's lang attribute, wherever in the page the tag stands
+  outside comments, scripts, styles and titles, as one of the known languages,
   other, or none. Suffix: what the address's last label says of a language, or
   nothing. Both tables P(evidence | lang) are estimated from all pages by grouped
   sums of text posteriors, smoothed with PSEUDO.
@@ -36,10 +37,20 @@ TEMPER, KAPPA, PSEUDO = 0.3, 8.0, 1.0
 #: Top-level labels that speak for a language.
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh"}
 _TAGS = re.compile(r"(?is)<(script|style|title)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})\b""")
+#: What an html tag does not count in (to its end, or the page's if it has none), or the tag up to its end.
+_HTML = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)|(<html\b[^>]*)")
+_LANG = re.compile(r"""(?is)\blang\s*=\s*["']?([a-z]{2,3})\b""")
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
 
 
+def declared_language(html: str) -> str | None:
+    """The lang attribute of the first html tag that has one, in lower case; the whole page is searched."""
+    for m in _HTML.finditer(html):
+        if m[2] and (said := _LANG.search(m[2])):
+            return said[1].lower()
+    return None
+
+
 def trigram_codes(text: str) -> np.ndarray:
     raw = np.frombuffer((" " + text.lower() + " ").encode("utf-8", "surrogatepass"), "u1").astype("u4")
     return ((raw[:-2] * np.uint32(2654435761) + raw[1:-1] * np.uint32(40503) + raw[2:] * np.uint32(97)) >> np.uint32(7)) & np.uint32(BUCKETS - 1)
@@ -91,8 +102,8 @@ def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame
                 found = _HOST.match(url or "")
                 host = found[1].lower().rstrip(".") if found else ""
                 labels = host.split(".")
-                said = _DECLARED.search((html or "")[:4096])
-                declared = number.get(said[1].lower()[:2], many) if said else many + 1
+                said = declared_language(html or "")
+                declared = number.get(said[:2], many) if said else many + 1
                 suffix = number.get(SUFFIXES.get(labels[-1], ""), many + 1)
                 text = _TAGS.sub(" ", html or "")
                 score = table[trigram_codes(text)].sum(0) * TEMPER if text.strip() else np.zeros(many)

@@ -221,6 +221,15 @@ def test_language_id(spark):
     assert len(got) == len(pages) and sum(got[r["doc_id"]] == r["lang"] for r in held) >= 0.95 * len(held)
 
 
+def test_declared_language_far_into_the_page(spark):
+    train = spark.createDataFrame([(1, "der die das und nicht", "de"), (2, "the of and is not", "en")], "doc_id long, text string, lang string")
+    far = [f"<!-- {'<html lang=en> licence ' * 250} --><html class=x LANG='de-AT'>", f"<!doctype html>{' ' * 5000}<html lang=de>", f"<script>{'x' * 5000}'<html lang=en>'</script><html lang=de>"]
+    none = ["<!-- <html lang=en> " * 300, "<p>no html tag, lang=de</p>" * 300]
+    pages = [(i, "http://h.example.com/", t + "<p>one two</p>") for i, t in enumerate(far + none)]
+    got = {r["page_id"]: r["declared"] for r in language_id.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), train).collect()}
+    assert got == dict(enumerate(["de"] * len(far) + [None] * len(none)))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
