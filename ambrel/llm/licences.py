@@ -1,6 +1,8 @@
 """Licence scans by a trained paragraph classifier.
 
-A paragraph is a line. Features are its word 1-, 2- and 3-grams that occur in
+A paragraph is a window of at most REACH words on either side of a word that is
+typical of licences (ANCHORS), which ends at blank lines: once within its line
+and once across single newlines, so hard-wrapped notices are whole. Features are its word 1-, 2- and 3-grams that occur in
 the licence templates (a fixed set, so the model is small and sparse), present
 or not. Multinomial logistic regression gives the families and "unknown"; it is
 trained on paragraphs made from the templates (words dropped, neighbours mixed
@@ -11,8 +13,11 @@ the threshold that lets at most FALSE_ALARMS of held-out unknowns through. A
 predicted family is confirmed if the paragraph holds at least CONTAINED of the
 word pairs of one of the family's templates, or the template of the paragraph.
 
-A paragraph without any word that is typical of licences (ANCHORS) has no feature
-that speaks for a family and is unknown without scoring.
+A window may hold several notices. The words that a found family's closest
+template aligns with (local alignment) are its place; what stands before and
+after is scored again by itself, as long as an anchor is in it. Of places that
+overlap, the one with the better alignment stays. Text without anchors has no
+feature that speaks for a family and is unknown without scoring.
 
 Null and empty texts have no paragraphs; texts are scanned whole. Rows may
 repeat; only doc_id and text are read.
@@ -21,6 +26,7 @@ repeat; only doc_id and text are read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +49,12 @@ TEMPLATES = {
 }
 UNKNOWN = "unknown"
 LOOK_ALIKES = ["All rights reserved.", "Copyright held by the authors, all rights reserved", "a driver's license is required", "the licensed premises were closed", "terms of use and public notice", "the general public was free to use the library", "software under development", "version 2 of the document was released under pressure", "the foundation published a source", "granted permission to use the work", "a creative work in the public library", "released under the new version", "subject to the terms of the contract"]
-ANCHORS = re.compile(r"licen[cs]|spdx|\bmit\b|\bapache\b|\bgpl\b|\blgpl\b|\bagpl\b|\bgnu\b|\bmozilla\b|\bmpl\b|\bbsd\b|\bcc0?\b|creative commons|redistribut|public domain|free of charge", re.I)
+ANCHORS = re.compile(r"licen[cs]|spdx|\bmit\b|\bapache\b|\bgpl\b|\blgpl\b|\bagpl\b|\bgnu\b|\bmozilla\b|\bmpl\b|\bbsd\b|\bcc0?\b|creative[^a-z0-9]{1,8}commons|redistribut|public[^a-z0-9]{1,8}domain|free[^a-z0-9]{1,8}of[^a-z0-9]{1,8}charge", re.I)
 WORD = re.compile(r"[a-z0-9]+")
+_LETTERS, _BLANK = re.compile(r"[A-Za-z0-9]*"), re.compile(r"\n[ \t\r\f\v]*\n|\Z")
+#: Words on either side of an anchor; an anchor within a place that ends SETTLED words before its window does needs no
+#: window of its own; line ends are looked for MARGIN code points beyond a window.
+REACH, SETTLED, MARGIN = 16, 8, 64
 SAMPLE_DOCS, SAMPLE_CHARS, MADE, ROUNDS, FALSE_ALARMS, CONTAINED = 200, 20_000, 60, 300, 0.001, 0.6
 
 
@@ -114,7 +124,9 @@ class Classifier:
 
     def predict(self, paragraph: str) -> tuple[str, float, bool] | None:
         """Family, its calibrated probability and whether a template confirms it; None: unknown."""
-        w = words_of(paragraph)
+        return self.predict_words(words_of(paragraph))
+
+    def predict_words(self, w: list[str]) -> tuple[str, float, bool] | None:
         at = [self.feature[g] for g in grams(w) if g in self.feature]
         if not at:
             return None
@@ -126,6 +138,106 @@ class Classifier:
         confirmed = any(len(mine & t) >= CONTAINED * min(len(t), max(len(mine), 1)) for t in self.pairs[self.classes[best]] if t)
         return self.classes[best], float(p[best]), confirmed
 
+    def notices(self, w: list[str]) -> list[tuple[int, int, int, tuple[str, float, bool]]]:
+        """(alignment score, from, to, prediction) of every notice in a window's words."""
+        found, todo = [], [(0, len(w))]
+        while todo:
+            lo, hi = todo.pop()
+            part = w[lo:hi]
+            if not ANCHORS.search(" ".join(part)) or not (said := self.predict_words(part)):
+                continue
+            mine = set(zip(part, part[1:]))
+            closest = max(range(len(self.pairs[said[0]])), key=lambda k: len(mine & self.pairs[said[0]][k]) / len(self.pairs[said[0]][k]))
+            score, a, b = aligned(part, words_of(TEMPLATES[said[0]][closest]))
+            if not score:
+                a, b = 0, len(part)
+            found.append((score, lo + a, lo + b, said))
+            todo += [(lo, lo + a), (lo + b, hi)]
+        return found
+
+
+def aligned(w: list[str], template: list[str]) -> tuple[int, int, int]:
+    """Score, from and to of the best local alignment in ``w``: 2 a match, -1 a word changed, added or left out."""
+    best, above = (0, 0, 0), [(0, 0)] * (len(template) + 1)
+    for i, x in enumerate(w):
+        row = [(0, i + 1)]
+        for j, y in enumerate(template):
+            score, start = above[j]
+            if x == y:
+                cell = (score + 2, start if score else i)
+            else:
+                score, start = max(above[j], above[j + 1], row[j])
+                cell = (score - 1, start) if score > 1 else (0, i + 1)
+            row.append(cell)
+            if cell[0] > best[0]:
+                best = (cell[0], cell[1], i + 1)
+        above = row
+    return best
+
+
+def lowered(text: str) -> str:
+    """Lower case of the same length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def window(text: str, lo: int, hi: int, a: int, b: int) -> list[tuple[int, int, str]]:
+    """(start, end, word) of the words in [lo, hi) from REACH before the word at [a, b) to REACH after it."""
+    words = lambda s, e: [(s + m.start(), s + m.end(), m[0]) for m in WORD.finditer(lowered(text[s:e]))]
+    size = 12 * REACH
+    while len(before := words(s := max(lo, a - size), a)) <= REACH and s > lo:
+        size *= 4
+    size = 12 * REACH
+    while len(after := words(b, e := min(hi, b + size))) <= REACH and e < hi:
+        size *= 4
+    return before[-REACH:] + words(a, b) + after[:REACH]
+
+
+def notices(model: Classifier, text: str) -> list[tuple[int, int, int, str, float, bool]]:
+    """Line number, start, end, family, probability and confirmed of every notice of a text, in order.
+
+    start and end are the notice's place widened to the ends of its lines, or as far as its window goes.
+    """
+    blanks, scope, line, word, settled = None, (0, -1), (0, -1), 0, 0
+    found = []
+    for m in ANCHORS.finditer(text):
+        if m.start() < max(word, settled):
+            continue
+        blanks = blanks or _BLANK.finditer(text)
+        while scope[1] <= m.start() and (gap := next(blanks, None)):
+            scope, following = (scope[0] if scope[1] < 0 else following, gap.start()), gap.end()
+        if line[1] <= m.start():
+            end = text.find("\n", m.start())
+            line = (text.rfind("\n", line[0], m.start()) + 1 or line[0], len(text) if end < 0 else end)
+        a, word = m.start(), _LETTERS.match(text, m.end()).end()
+        while a > scope[0] and text[a - 1].isascii() and text[a - 1].isalnum():
+            a -= 1
+        around = window(text, *scope, a, word)
+        inside = [x for x in around if line[0] <= x[0] and x[1] <= line[1]]
+        for words in [inside, around] if len(inside) < len(around) else [around]:
+            for score, i, j, said in model.notices([x[2] for x in words]):
+                start, end = words[i][0], words[j - 1][1]
+                found.append((-score, start, end, said, words))
+                if start <= m.start() < end and words is around and j + SETTLED <= len(words):
+                    settled = max(settled, end)
+    kept: list[list] = []
+    for _, start, end, said, words in sorted(found, key=lambda x: x[:4]):
+        k = bisect_left(kept, [end])
+        if k and kept[k - 1][1] > start:  # those kept do not overlap, so the last that begins before ends last
+            if kept[k - 1][2] == said[0]:
+                kept[k - 1][3:5] = max(kept[k - 1][3], said[1]), kept[k - 1][4] or said[2]
+            continue
+        insort(kept, [start, end, *said, words], key=lambda x: x[0])
+    out, number, at = [], 0, 0
+    for start, end, family, probability, confirmed, words in kept:
+        lo, hi = max(0, words[0][0] - MARGIN), min(len(text), words[-1][1] + MARGIN)
+        first, last = text.rfind("\n", lo, start) + 1, text.find("\n", end, hi)
+        first = first or (words[0][0] if lo else 0)
+        last = last if last >= 0 else (words[-1][1] if hi < len(text) else hi)
+        number, at = number + text.count("\n", at, first), first
+        out.append((number, first, last, family, round(probability, 4), confirmed))
+    return out
+
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Classifier:
     ids = docs.where("doc_id is not null and text is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -135,7 +247,7 @@ def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Classifier:
 
 
 def licence_scan(docs: DataFrame, model: Classifier) -> DataFrame:
-    """A row for every paragraph of a known family: doc_id, paragraph, start, end (code points), family, probability, confirmed."""
+    """A row for every notice of a known family: doc_id, paragraph (line number), start, end (code points), family, probability, confirmed."""
 
     def run(batches):
         for batch in batches:
@@ -143,16 +255,9 @@ def licence_scan(docs: DataFrame, model: Classifier) -> DataFrame:
             for i, text in enumerate(batch.column("text").to_pylist()):
                 if not text:
                     continue
-                last = -1
-                for m in ANCHORS.finditer(text):  # from one anchor's paragraph to the next
-                    if m.start() <= last:
-                        continue
-                    start = text.rfind("\n", 0, m.start()) + 1
-                    last = text.find("\n", m.start())
-                    last = len(text) if last < 0 else last
-                    if found := model.predict(text[start:last]):
-                        which.append(i)
-                        out.append((text.count("\n", 0, start), start, last, found[0], round(found[1], 4), found[2]))
+                rows = notices(model, text)
+                which += [i] * len(rows)
+                out += rows
             cols = [*zip(*out)] or [()] * 6
             types = (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(which, pa.int32())), *[pa.array(list(c), t) for c, t in zip(cols, types)]], ["doc_id", "paragraph", "start", "end", "family", "probability", "confirmed"])

@@ -212,6 +212,22 @@ def test_licences(spark):
     assert got == {n: ("MIT", True), n + 1: ("Apache-2.0", True), n + 3: ("GPL", True)}
 
 
+def test_licences_within_long_lines_together_and_wrapped(spark):
+    mit, apache, lgpl = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under the GNU Lesser General Public License, version 2.1."
+    long = prose(2, 12, 2500)
+    wrapped = "# Permission is hereby granted, free\n# of charge, to any person obtaining a copy\n# of this software and associated\n# documentation files"
+    cases = [(f"{long[0]} {mit} {long[1]}", ["MIT"]), (f"{mit} {apache}", ["MIT", "Apache-2.0"]), (f"{apache} {lgpl}", ["Apache-2.0", "LGPL"]), (wrapped, ["MIT"])]
+    cases += [(f"{long[0]} {lgpl} {long[1]} {mit}", ["LGPL", "MIT"]), (f"Released under\n\nthe words {long[0]}", []), (f"a\n{apache}\nb", ["Apache-2.0"]), ("licence " * 5000, [])]
+    docs = frame(spark, [t for t, _ in cases])
+    model = licences.train(frame(spark, prose(30, 11)))
+    rows = sorted(licences.licence_scan(docs, model).collect(), key=lambda r: (r["doc_id"], r["start"]))
+    got = [sorted(r["family"] for r in rows if r["doc_id"] == i) for i in range(len(cases))]
+    assert got == [sorted(f) for _, f in cases]
+    at = next(r for r in rows if r["doc_id"] == 0)
+    assert at["start"] <= cases[0][0].index(mit) and at["end"] - at["start"] < 1000
+    assert [(r["paragraph"], r["start"], r["end"]) for r in rows if r["doc_id"] == 6] == [(1, 2, 2 + len(apache))]
+
+
 def test_language_id(spark):
     rows = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
     held = [r for r in rows if r["doc_id"] % 5 == 0]
