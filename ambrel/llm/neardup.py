@@ -38,7 +38,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from .common import as_table, in_pieces
 
@@ -226,8 +225,8 @@ def _similar_length(a: str, b: str, threshold: float):
     return F.least(F.col(a), F.col(b)) >= threshold * F.greatest(F.col(a), F.col(b))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_class (least doc_id with the same text) and class_id (least doc_id of the near-duplicate class) of every row."""
+def _compared(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All rows with their hashes, the distinct texts (id: the row that stands for them), and the components of those with links."""
     rows = as_table(signatures(docs).withColumn("row", F.monotonically_increasing_id()), "signatures")
     firsts = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     firsts = as_table(firsts.select("k1", "k2", F.col("first.row").alias("id"), F.col("first.doc_id").alias("doc_id"), "n", "bands"), "texts")
@@ -236,7 +235,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     shared = band.join(many, "b")
     score = shared.groupBy("id").agg(F.sum("size").alias("score"))
     shared = as_table(shared.join(score, "id").select("b", "k", "id", "n", "score"), "buckets")
-    comps = _linked(docs, firsts, shared, threshold)
+    return rows, firsts, _linked(docs, firsts, shared, threshold)
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, text_class (least doc_id with the same text) and class_id (least doc_id of the near-duplicate class) of every row."""
+    rows, firsts, comps = _compared(docs, threshold)
     named = firsts.select("id", "k1", "k2", F.col("doc_id").alias("text_class")).join(comps, "id", "left")
     least = named.groupBy(F.coalesce("comp", "id").alias("comp")).agg(F.min("text_class").alias("class_id"))
     named = named.withColumn("comp", F.coalesce("comp", "id")).join(least, "comp").select("k1", "k2", "text_class", "class_id")
@@ -342,15 +346,25 @@ def _across(rows: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame
 
 
 def deduplicate(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of each class, of those with the least doc_id; rows without text or id all stay."""
-    classes = near_duplicates(docs, threshold).where("doc_id <> class_id").select("doc_id").distinct()
-    same = W.partitionBy("doc_id").orderBy("text")
-    out = docs.join(classes, "doc_id", "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return out
-    numbered = out.withColumn("__d_n", F.row_number().over(same))
-    return numbered.where("__d_n = 1 or doc_id is null or text is null").drop("__d_n")
+    """One row of each class, with the least doc_id (null only if all are); rows without text all stay.
+
+    Rows are told apart by doc_id and text, so rows with different texts may share a doc_id.
+    """
+    rows, firsts, comps = _compared(docs, threshold)
+    rows = rows.where("k1 is not null").select("doc_id", "k1", "k2")
+    classes = firsts.select("id", "doc_id").join(comps, "id", "left").groupBy(F.coalesce("comp", "id").alias("comp"))
+    heads = classes.agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "id")).alias("head")).select(F.col("head.id").alias("id"))
+    heads = firsts.join(heads, "id", "left_semi").select("doc_id", "k1", "k2")
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["k1"] == b["k1"]) & (a["k2"] == b["k2"])
+    others = as_table(rows.join(heads, same(rows, heads), "left_anti").distinct(), "others")
+    there = F.col("text").isNotNull()
+    hashed = docs.withColumns({"__d_k1": F.when(there, F.xxhash64("text")), "__d_k2": F.when(there, F.xxhash64(F.lit(7), F.col("text")))})
+    out = hashed.join(others, hashed["doc_id"].eqNullSafe(others["doc_id"]) & (hashed["__d_k1"] == others["k1"]) & (hashed["__d_k2"] == others["k2"]), "left_anti")
+    if not rows.groupBy("doc_id", "k1", "k2").count().where("count > 1").limit(1).count():
+        return out.select(*docs.columns)
+    out = as_table(out.withColumn("__d_row", F.monotonically_increasing_id()), "numbered")
+    first = out.where("text is not null").groupBy("doc_id", "__d_k1", "__d_k2").agg(F.min("__d_row").alias("__d_row")).select("__d_row")
+    return out.where("text is null").union(out.join(first, "__d_row", "left_semi").select(*out.columns)).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -146,6 +146,15 @@ def test_near_duplicates_against_all_pairs(spark):
     assert kept == set(label)
 
 
+def test_deduplicate_by_rows_not_by_ids(spark):
+    a, b, c, d, e = prose(5, 13, 40)
+    near = " ".join(a.split()[:-1])
+    rows = [(1, a), (2, near), (2, b), (2, c), (3, c), (None, d), (None, d), (None, a), (None, e), (4, e), (5, None), (5, None), (None, None), (6, "x y"), (6, "x y"), (6, "z")]
+    kept = neardup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = [(1, a), (2, b), (2, c), (None, d), (4, e), (5, None), (5, None), (None, None), (6, "x y"), (6, "z")]
+    assert Counter(map(tuple, kept)) == Counter(expected)
+
+
 def test_signatures_are_unbiased():
     r, gaps = random.Random(8), []
     for _ in range(150):
