@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,14 +51,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _near(text: str, spans: list[tuple[int, int]], start: int, end: int, reach: int) -> bool:
-    """Does one of the sorted spans lie within reach of [start, end), in its scope?"""
-    i = bisect_left(spans, (start, end))
-    for s, e in (*spans[max(0, i - 1) : i], *spans[i : i + 1]):
-        a, b = min(end, e), max(start, s)
-        if b - a <= reach and "\n\n" not in text[a:b]:
-            return True
-    return False
+class Spans:
+    """Sorted spans, which may overlap, with the greatest end up to each."""
+
+    def __init__(self, spans):
+        self.spans = sorted(spans)
+        self.ends = list(accumulate((e for _, e in self.spans), max))
+
+    def __bool__(self) -> bool:
+        return bool(self.spans)
+
+    def overlap(self, start: int, end: int) -> bool:
+        i = bisect_left(self.spans, (end, -1))
+        return i > 0 and self.ends[i - 1] > start
+
+    def near(self, text: str, start: int, end: int, reach: int) -> bool:
+        """Does one of the spans lie within reach of [start, end), in its scope?"""
+        i = bisect_left(self.spans, (start, end))
+        gaps = [(self.ends[i - 1], start)] if i else []  # of those before, the one that ends last is nearest
+        gaps += [(end, s) for s, _ in self.spans[i : i + 1]]
+        return any(b - a <= reach and "\n\n" not in text[a:b] for a, b in gaps)
 
 
 def scan(text: str | None, reach: int = REACH) -> list[tuple[int, int, int]]:
@@ -65,14 +78,10 @@ def scan(text: str | None, reach: int = REACH) -> list[tuple[int, int, int]]:
     if not text:
         return []
     base = base_spans(text)
-    taken = sorted((s, e) for s, _, e in base)
-
-    def free(s: int, e: int) -> bool:
-        i = bisect_left(taken, (e, -1))
-        return not any(b > s for _, b in taken[max(0, i - 2) : i])
+    taken = Spans((s, e) for s, _, e in base)
 
     def weak(kind: str) -> list[tuple[int, int]]:
-        return [m.span() for m in WEAK[kind].finditer(text) if free(*m.span())]
+        return [m.span() for m in WEAK[kind].finditer(text) if not taken.overlap(*m.span())]
 
     access = [(s, e) for s, k, e in base if k == 1]
     secret = [(s, e) for s, k, e in base if k != 1]
@@ -80,11 +89,11 @@ def scan(text: str | None, reach: int = REACH) -> list[tuple[int, int, int]]:
     if not secret and not key:  # nothing weak can be complete without a secret part
         return base
     ident = weak("ident")
-    names, secrets = sorted(access + ident), sorted(secret + key)
-    found = base + [(s, 3, e) for s, e in ident if _near(text, secrets, s, e, reach)]
-    found += [(s, 4, e) for s, e in key if _near(text, names, s, e, reach)]
+    names, secrets = Spans(access + ident), Spans(secret + key)
+    found = base + [(s, 3, e) for s, e in ident if secrets.near(text, s, e, reach)]
+    found += [(s, 4, e) for s, e in key if names.near(text, s, e, reach)]
     if names:
-        found += [(s, 5, e) for s, e in weak("endpoint") if _near(text, names, s, e, reach) and _near(text, secrets, s, e, reach)]
+        found += [(s, 5, e) for s, e in weak("endpoint") if names.near(text, s, e, reach) and secrets.near(text, s, e, reach)]
     return sorted(found)
 
 
