@@ -433,8 +433,8 @@ def scaffold_grid(spark, d):
     """The grid of regions and segments, filled with what there is."""
     customers, nations, regions = table(spark, d, "customer"), table(spark, d, "nation"), table(spark, d, "region")
     counts = customers.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n")).join(nations, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey", "c_mktsegment").agg(F.sum("n").alias("n"))
-    segments = [r[0] for r in customers.select("c_mktsegment").distinct().orderBy("c_mktsegment").limit(1000).collect()]  # an enumeration
-    grid = regions.select("r_regionkey", "r_name", F.explode(F.array(*map(F.lit, segments))).alias("segment"))
+    segments = customers.select(F.col("c_mktsegment").alias("segment")).distinct()
+    grid = segments.crossJoin(F.broadcast(regions.select("r_regionkey", "r_name")))
     return grid.join(counts, (F.col("r_regionkey") == F.col("n_regionkey")) & (F.col("segment") == F.col("c_mktsegment")), "left").select("r_name", "segment", F.coalesce("n", F.lit(0)).alias("n"))
 
 

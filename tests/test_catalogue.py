@@ -28,3 +28,11 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() == 3
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_scaffold_grid_of_many_segments(spark, tmp_path):
+    spark.createDataFrame([(i, 0, f"s{i}") for i in range(1200)], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, 0)], "n_nationkey int, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(0, "here"), (1, "there")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    rows = catalogue.QUERIES["scaffold_grid"](spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in rows} == {(n, f"s{i}", int(n == "here")) for n in ("here", "there") for i in range(1200)}
