@@ -14,8 +14,9 @@ over shards is the stated "query set against all rows, in blocks".
 
 Scores are exact 64-bit integers. Vectors that are null or hold null or
 non-finite components take no part, nor do those of another length than their
-query or rows without id. Components must stay below 2**24 after scaling (larger
-ones raise an error rather than overflow). Repeated ids are separate rows; ties
+query or rows without id. Shards with components of 2**24 or more after scaling
+are held in 64 bits, and where sums may pass 64 bits Python's integers count. As in
+the SQL, a scaled component or a score in the result that does not fit 64 bits is an error. Repeated ids are separate rows; ties
 go to the smaller id. A query never meets rows of its own id.
 """
 
@@ -53,7 +54,7 @@ def build_tree(ids: np.ndarray, x: np.ndarray):
         return at
 
     grow(0, len(x))
-    return ids[order], x[order], np.array(boxes, "i4"), np.array(nodes, "i4")
+    return ids[order], x[order], np.array(boxes, x.dtype), np.array(nodes, "i4")
 
 
 def _packer(with_tree: bool):
@@ -62,9 +63,10 @@ def _packer(with_tree: bool):
         order = np.argsort(ids, kind="stable")
         dim = table["dim"][0].as_py()
         x = np.asarray(table["x"].combine_chunks().flatten()).reshape(len(ids), dim)
-        if x.size and np.abs(x).max() >= 1 << 24:
-            raise ValueError("components must stay below 2**24 after scaling")
-        x, ids = x[order].astype("i4"), ids[order].astype("i8")
+        low, high = int(x.min(initial=0)), int(x.max(initial=0))
+        if low == -(1 << 63) or high == (1 << 63) - 1:  # where floor() ends
+            raise ValueError("scaled components must fit 64 bits")
+        x, ids = x[order].astype("i4" if max(-low, high) < 1 << 24 else "i8"), ids[order].astype("i8")
         boxes = nodes = np.empty(0, "i4")
         if with_tree:
             ids, x, boxes, nodes = build_tree(ids, x)
@@ -76,12 +78,14 @@ def _packer(with_tree: bool):
 
 def _search(best: list[list[tuple[int, int]]], q: np.ndarray, q_ids: np.ndarray, ids, x, boxes, nodes, k: int) -> None:
     """Improve each query's heap of (score, -id), smallest first, with one shard."""
-    q8 = q.astype("f8")  # products stay exact below 2**53; larger ones take the integer path
-    exact = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1] < 2**53
-    dot = (lambda a, b: np.rint(a.astype("f8") @ b.astype("f8")).astype("i8")) if exact else (lambda a, b: a.astype("i8") @ b.astype("i8"))
+    most = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * x.shape[1]
+    if most < 2**53:  # exact as floating point
+        dot = lambda a, b: np.rint(a.astype("f8") @ b.astype("f8")).astype("i8")
+    else:
+        wide = "i8" if most < 2**63 else object
+        dot = lambda a, b: a.astype(wide) @ b.astype(wide)
     up, down = np.maximum(q, 0), np.minimum(q, 0)
     bounds = dot(up, boxes[:, 1].T) + dot(down, boxes[:, 0].T)
-    del q8
     for i in range(len(q)):
         heap, mine, bound = best[i], q_ids[i], bounds[i]
         todo = [(-bound[0], 0)]
@@ -107,6 +111,11 @@ def _search(best: list[list[tuple[int, int]]], q: np.ndarray, q_ids: np.ndarray,
                     heapq.heapreplace(heap, (s, -v))
 
 
+def _matrix(data: bytes, rows: int, dim: int) -> np.ndarray:
+    """Rows of ``dim`` integers of 32 or 64 bits, as the size tells."""
+    return np.frombuffer(data, "i8" if len(data) == 8 * rows * dim else "i4").reshape(-1, dim)
+
+
 def _searcher(k: int):
     schema = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -130,10 +139,12 @@ def _searcher(k: int):
                 if (row["block"], dim) != block:
                     done()
                     block = (row["block"], dim)
-                    q_ids, q = np.frombuffer(row["q_ids"], "i8"), np.frombuffer(row["q_vectors"], "i4").reshape(-1, dim)
+                    q_ids = np.frombuffer(row["q_ids"], "i8")
+                    q = _matrix(row["q_vectors"], len(q_ids), dim)
                     best = [[] for _ in q_ids]
-                ids, x = np.frombuffer(row["ids"], "i8"), np.frombuffer(row["vectors"], "i4").reshape(-1, dim)
-                _search(best, q, q_ids, ids, x, np.frombuffer(row["boxes"], "i4").reshape(-1, 2, dim), np.frombuffer(row["nodes"], "i4").reshape(-1, 4), k)
+                ids, nodes = np.frombuffer(row["ids"], "i8"), np.frombuffer(row["nodes"], "i4").reshape(-1, 4)
+                x, boxes = _matrix(row["vectors"], len(ids), dim), _matrix(row["boxes"], 2 * len(nodes), dim).reshape(-1, 2, dim)
+                _search(best, q, q_ids, ids, x, boxes, nodes, k)
             if len(out) > 10_000:
                 yield flush()
         done()

@@ -219,6 +219,21 @@ def test_top_k(spark):
     assert topk.exact_top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(14)
+    rows = [(i, [float(r.choice([-1, 0, 0.5])) for _ in range(4)]) for i in range(200)]
+    rows += [(950, [0.0, 1e9, 0.5, 0.0]), (951, [1e6, 0.5, -70000.0, 0.0]), (952, [1e9, 0.0, 0.0, 0.0]), (1000, [70000.0, -0.5, 0.0, 65536.0])]
+    expected = Counter()
+    for q, a in rows:
+        if q % 50 == 0:
+            best = sorted((-sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(a, b)), i) for i, b in rows if i != q)[:5]
+            expected.update((q, k + 1, i, -s) for k, (s, i) in enumerate(best))
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert Counter(map(tuple, topk.exact_top_k(vectors, F.col("vec_id") % 50 == 0, shard_rows=100, block_rows=4).collect())) == expected
+
+
 def test_licences(spark):
     texts = [*ODD, *prose(30, 11), "intro\nReleased under the MIT License.\nend", "Licensed under the Apache License, Version 2.0.", "a driver's license is required here", "SPDX-License-Identifier: GPL-3.0-or-later"]
     docs = frame(spark, texts)
