@@ -5,30 +5,44 @@ into full pieces with the shorter rest first. The packing is decided on the
 histogram of piece lengths, which has at most ``capacity`` entries whatever the
 input, so it fits the driver:
 
-1. The configuration LP (min sum x_c, sum_c x_c a_cl >= n_l over the
-   configurations c of total length <= capacity) is solved by multiplicative
-   weights: a length's price falls exponentially with its covered share, a
-   knapsack dynamic program over the capacity prices the best configuration, and
-   its x_c grows until a length's cover has grown by STEP.
-2. x is rounded down, never past what is left of a length, for configurations
-   that waste at most WASTE ids. What remains is packed by the same pricing in
-   whole units: the longest piece left, joined by the best fit the program finds
-   for the room beside it, as often as the histogram allows. Each such step uses
-   up a length or fills its configuration, so their number depends on the
-   histogram's size, not on the documents.
+1. A first feasible plan: the longest piece left, joined by what fills the room
+   beside it best (sums of all lengths left, one bit each), as often as the
+   histogram allows.
+2. The configuration LP (min sum x_c, sum_c x_c a_cl >= n_l over the
+   configurations c of total length <= capacity), by multiplicative weights at
+   every size: a length's price falls exponentially with its covered share; a
+   knapsack dynamic program over the capacity, with all lengths as items, prices
+   the dearest configuration and, for each length, the dearest one that holds it.
+   Those within NEAR of the dearest enter the plan by small steps. Any prices give
+   a lower bound of the LP: what all pieces are worth over what the dearest
+   configuration is. Every CHECK rounds the columns found so far (and those of the
+   first plan) are weighed anew by multiplicative scaling towards an exact cover;
+   the best feasible x is kept. Rounds end when its value is within GAP of the best
+   bound, or after ROUNDS.
+3. x is rounded along its running sum, never past what is left of a length; what
+   remains is packed as in step 1. Of the rounded and the first plan the one with
+   fewer sequences stays. Whole plans have at least ceil(bound) sequences.
 
 A piece then gets its place in closed form: its rank among the pieces of its
-length (counted by length and salt, so that a common length is many groups)
-falls in a configuration's interval of ranks, which gives sequence and offset.
-The table of intervals goes to all tasks; its size is bounded by MAX_PLAN.
-
-Null texts are empty: the end id alone. Rows may repeat, and so may doc_id; each
-row is packed. Columns other than doc_id and text are not read.
+length falls in a configuration's interval of ranks, which gives sequence and
+offset. Ranks are counted by length and salt; a length of n pieces has about
+sqrt(n) salts, so no task holds more than a share of a common length, and neither
+does the table of the salts' sums, which is joined on the keys that the pieces are
+dealt by already. The plan sent to the tasks depends on the number of lengths
+(at most ``capacity``) alone: a step of the first plan uses up a length or halves
+what is left of one beside it, and rounds are limited.
+
+Null texts are empty: the end id alone. Texts of any length are encoded whole.
+Rows may repeat, and so may doc_id (or be null): each row is packed; equal pieces
+rank in any order. An empty table gives no rows. Columns other than doc_id and
+text are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import functools
+import json
+import math
 import os
 import re
 import zlib
@@ -41,8 +55,11 @@ from pyspark.sql import Window as W
 
 from .common import as_table
 
-CAPACITY, END_ID, SALTS = 2048, 0, 64
-STEP, CANDIDATES, ETA, WASTE, MAX_PLAN = 0.5, 160, 6.0, 1, 2_000_000
+CAPACITY, END_ID = 2048, 0
+ROUNDS, CHECK, STEP, ETA, NEAR, GAP, SWEEPS, LEAN = 120, 20, 0.1, 3.0, 0.05, 2e-4, 200, 0.5
+#: The pre-tokenizer that SPLIT stands for; a file with another one is left to the library (fixed values).
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts of other code points are encoded by the tokenizers library itself.
 TRUSTED = re.compile("[^\t-\r -~\xa0-ʯΑ-ώЀ-џ‐-‧€]")
 
@@ -66,13 +83,15 @@ class ByteEncoder:
         self.library.no_padding()
         special = {t.content for t in self.library.get_added_tokens_decoder().values()}
         self.special = re.compile("|".join(map(re.escape, sorted(special))) or r"(?!)")
-        letters = byte_letters()
-        ranks = {bytes(letters[c] for c in t): i for t, i in self.library.get_vocab(False).items() if t not in special}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        spec = json.loads(self.library.to_str())
+        self.known = spec["normalizer"] is None and BYTE_LEVEL.items() <= (spec["pre_tokenizer"] or {}).items()
+        if self.known:
+            letters = byte_letters()
+            ranks = {bytes(letters[c] for c in t): i for t, i in self.library.get_vocab(False).items() if t not in special}
+            self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if TRUSTED.search(text) or self.special.search(text):
+        if not self.known or TRUSTED.search(text) or self.special.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
         return np.asarray(self.fast.encode_to_numpy(text, disallowed_special=()), "<u4")
 
@@ -103,93 +122,165 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long")
 
 
-def best_configuration(lengths: np.ndarray, prices: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack by dynamic programming: how often to take which length, each at most ``most`` times."""
-    items, worth = [], []
-    for i, (n, p, m) in enumerate(zip(lengths.tolist(), prices.tolist(), most.tolist())):
-        m, k = min(m, capacity // n), 1
-        while m > 0:  # binary splitting of the multiplicity
+class Knapsack:
+    """The dearest configuration for every room up to ``capacity``, each length at most ``most`` times."""
+
+    def __init__(self, lengths: np.ndarray, prices: np.ndarray, most: np.ndarray, capacity: int):
+        self.items, worth = [], []
+        for i, (n, p, m) in enumerate(zip(lengths.tolist(), prices.tolist(), most.tolist())):
+            k = 1
+            while m > 0:  # binary splitting of the multiplicity
+                k = min(k, m)
+                self.items.append((i, k, k * n))
+                worth.append(k * p)
+                m, k = m - k, 2 * k
+        self.value = np.zeros(capacity + 1)
+        self.took = np.zeros((capacity + 1, len(self.items)), bool)
+        for j, ((_, _, size), p) in enumerate(zip(self.items, worth)):
+            with_it = self.value[: capacity + 1 - size] + p
+            better = with_it > self.value[size:] + 1e-9
+            self.took[size:, j] = better
+            np.copyto(self.value[size:], with_it, where=better)
+
+    def configuration(self, room: int) -> dict[int, int]:
+        out, j = {}, len(self.items)
+        while (at := np.flatnonzero(self.took[room, :j])).size:
+            j = int(at[-1])
+            i, k, size = self.items[j]
+            out[i] = out.get(i, 0) + k
+            room -= size
+        return out
+
+
+def fullest(sizes: list[int], left: list[int], room: int) -> dict[int, int]:
+    """How often to take which of the ascending ``sizes`` to fill ``room`` as far as any choice can, long pieces first."""
+    reached, steps, mask = 1, [], (1 << room + 1) - 1  # bit b: some choice adds up to b
+    for i in range(len(sizes) - 1, -1, -1):
+        m, k = min(left[i], room // sizes[i]), 1
+        while m > 0:
             k = min(k, m)
-            items.append((i, k, k * n))
-            worth.append(k * p)
+            steps.append((reached, i, k))
+            reached |= reached << sizes[i] * k & mask
             m, k = m - k, 2 * k
-    best = np.zeros(capacity + 1)
-    took = np.zeros((len(items), capacity + 1), bool)
-    for j, ((_, _, size), value) in enumerate(zip(items, worth)):
-        with_it = best[: capacity + 1 - size] + value
-        better = with_it > best[size:]
-        took[j, size:] = better
-        np.copyto(best[size:], with_it, where=better)
-    out: dict[int, int] = {}
-    room = capacity
-    for j in range(len(items) - 1, -1, -1):
-        if took[j, room]:
-            i, k, size = items[j]
+        if reached >> room & 1:
+            break
+    at, out = reached.bit_length() - 1, {}
+    for before, i, k in reversed(steps):
+        if not before >> at & 1:
             out[i] = out.get(i, 0) + k
-            room -= size
+            at -= k * sizes[i]
     return out
 
 
-def configuration_lp(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations (index of length -> times) with their fractional numbers; covers every length."""
-    cover = np.zeros(len(lengths))
-    plan = []
-    turn = np.random.Generator(np.random.PCG64(7))
-    while (open_ := np.flatnonzero(cover < 1 - 1e-9)).size:
-        price = lengths * np.exp(-ETA * (cover - cover[open_].min()))
-        price[cover >= 1 - 1e-9] = 0
-        if open_.size > CANDIDATES:  # partial pricing: the least covered, and some others
-            first = open_[np.argsort(cover[open_] - 1e-3 * turn.random(open_.size), kind="stable")[: CANDIDATES // 2]]
-            rest = np.setdiff1d(open_, first)
-            open_ = np.concatenate([first, turn.choice(rest, CANDIDATES // 2, replace=False)])
-        config = best_configuration(lengths[open_], price[open_], np.ceil((1 - cover[open_]) * counts[open_]).astype("i8"), capacity)
-        config = {int(open_[i]): k for i, k in config.items()}
-        x = min(min(STEP, 1 - cover[i]) * counts[i] / k for i, k in config.items())
+Plan = list[tuple[dict[int, int], int]]
+
+
+def best_fit(histogram: dict[int, int], capacity: int) -> Plan:
+    """Configurations (length -> times) and their numbers: the longest piece left with the fullest company."""
+    sizes = sorted(n for n, k in histogram.items() if k)
+    left, plan = [histogram[n] for n in sizes], []
+    while sizes:
+        top = len(sizes) - 1
+        left[top] -= 1  # for what may stand beside it
+        config = fullest(sizes, left, capacity - sizes[top])
+        left[top] += 1
+        config[top] = config.get(top, 0) + 1
+        times = min(left[i] // k for i, k in config.items())
+        plan.append(({sizes[i]: k for i, k in config.items()}, times))
         for i, k in config.items():
-            cover[i] += x * k / counts[i]
-        plan.append((config, x))
+            left[i] -= k * times
+        there = [i for i, n in enumerate(left) if n]
+        sizes, left = [sizes[i] for i in there], [left[i] for i in there]
     return plan
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+def rescaled(columns: list[tuple], start: np.ndarray, lengths: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
+    """Weights of ``columns`` that cover every length: multiplicative scaling from ``start``, which full columns lead."""
+    which = np.repeat(np.arange(len(columns)), [len(c) for c in columns])
+    item = np.array([i for c in columns for i, _ in c])
+    times = np.array([k for c in columns for _, k in c], "f8")
+    share = times * lengths[item] / capacity
+    log_x = np.log(start) - LEAN * (capacity - np.bincount(which, times * lengths[item], len(columns)))
+    covered = lambda: np.bincount(item, times * np.exp(log_x)[which], len(lengths)) / counts
+    for _ in range(SWEEPS):
+        log_x -= np.bincount(which, share * np.log(np.maximum(covered(), 1e-300))[item], len(columns))
+    return np.exp(log_x) / covered().min()
+
+
+def configuration_lp(histogram: dict[int, int], capacity: int, first: Plan) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """A feasible x (configuration, number) and the best lower bound; ``first``: a feasible plan to begin from."""
+    lengths = np.array(sorted(n for n, k in histogram.items() if k), "i8")
+    if not len(lengths):
+        return [], 0.0
+    counts = np.array([histogram[n] for n in lengths.tolist()], "f8")
+    most = np.minimum(counts, capacity // lengths).astype("i8")
+    index = {n: i for i, n in enumerate(lengths.tolist())}
+    begun: dict[tuple, float] = {}
+    for config, times in first:
+        key = tuple(sorted((index[n], k) for n, k in config.items()))
+        begun[key] = begun.get(key, 0.0) + times
+    best, value, bound = begun, sum(begun.values()), 0.0
+    moved: dict[tuple, float] = {}
+    cover = np.zeros(len(lengths))
+    for turn in range(1, ROUNDS + 1):
+        price = lengths * np.exp(-ETA * (cover - cover.min()))
+        table = Knapsack(lengths, price, most, capacity)
+        top = table.value[capacity]
+        bound = max(bound, float(counts @ price / top))
+        if value <= (1 + GAP) * bound:
+            break
+        used = np.zeros(len(lengths))
+        for i in np.argsort(cover, kind="stable").tolist():  # the least covered choose first
+            if used[i]:
+                continue
+            config = table.configuration(capacity - int(lengths[i]))
+            config[i] = config.get(i, 0) + 1
+            if config[i] > most[i] or sum(price[j] * k for j, k in config.items()) < (1 - NEAR) * top:
+                continue
+            x = min((STEP - used[j]) * counts[j] / k for j, k in config.items())
+            if x > 1e-12:
+                for j, k in config.items():
+                    used[j] += x * k / counts[j]
+                key = tuple(sorted(config.items()))
+                moved[key] = moved.get(key, 0.0) + x
+        cover += used
+        if turn % CHECK == 0 and cover.min() > 0:
+            mixed = dict(begun)
+            for key, x in moved.items():
+                mixed[key] = mixed.get(key, 0.0) + x / cover.mean()
+            columns = [*mixed]
+            weighed = dict(zip(columns, rescaled(columns, np.array([*mixed.values()]), lengths, counts, capacity).tolist()))
+            for found in (weighed, {key: x / cover.min() for key, x in moved.items()}):
+                if sum(found.values()) < value:
+                    best, value = found, sum(found.values())
+    return [({int(lengths[i]): k for i, k in key}, x) for key, x in best.items()], bound
+
+
+def rounded(fractional: list[tuple[dict[int, int], float]], histogram: dict[int, int], capacity: int) -> Plan:
+    """Whole numbers along the running sum of x, full configurations first; the rest by best_fit()."""
+    left, plan, total = dict(histogram), [], 0.0
+    for config, x in sorted(fractional, key=lambda c: capacity - sum(n * k for n, k in c[0].items())):
+        times = int(total + x + 1e-9) - int(total + 1e-9)
+        total += x
+        times = min([times, *(left[n] // k for n, k in config.items())])
+        if times > 0:
+            plan.append((config, times))
+            for n, k in config.items():
+                left[n] -= k * times
+    return plan + best_fit(left, capacity)
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """Configurations (length -> times) with their whole numbers, which hold every piece exactly once."""
     full = histogram.get(capacity, 0)
-    lengths = np.array(sorted(n for n in histogram if n < capacity), "i8")
-    left = np.array([histogram[n] for n in lengths.tolist()], "i8")
-    whole: dict[tuple, int] = {}
-
-    def put(config: dict[int, int], times: int) -> None:
-        if times > 0:
-            key = tuple(sorted(config.items()))
-            whole[key] = whole.get(key, 0) + times
-            for i, k in config.items():
-                left[i] -= k * times
-
-    if left.sum() > 4 * len(lengths):  # fewer pieces a length would round to nothing
-        for config, x in configuration_lp(lengths, left.astype("f8"), capacity):
-            if capacity - sum(int(lengths[i]) * k for i, k in config.items()) <= WASTE:
-                put(config, min([int(x), *(int(left[i]) // k for i, k in config.items())]))
-    while left.any():
-        there = np.flatnonzero(left)
-        top = int(there[-1])
-        room = capacity - int(lengths[top])
-        left[top] -= 1  # for what may stand beside it
-        beside = there[(lengths[there] <= room) & (left[there] > 0)]
-        if beside.size > CANDIDATES:
-            beside = np.concatenate([beside[: CANDIDATES // 4], beside[np.linspace(CANDIDATES // 4, beside.size - 1, 3 * CANDIDATES // 4).astype(int)]])
-        config: dict[int, int] = {}
-        if beside.size:
-            price = lengths[beside] * (1 + 0.02 * lengths[beside] / capacity)  # between equal fits, the one of longer pieces
-            found = best_configuration(lengths[beside], price, left[beside], room)
-            config = {int(beside[i]): k for i, k in found.items()}
-        left[top] += 1
-        config[top] = config.get(top, 0) + 1
-        put(config, min(int(left[i]) // k for i, k in config.items()))
-    out = [({int(lengths[i]): k for i, k in key}, times) for key, times in whole.items()]
-    return out + [({capacity: 1}, full)] * (full > 0)
+    short = {n: k for n, k in histogram.items() if n < capacity and k}
+    first = best_fit(short, capacity)
+    fractional, _ = configuration_lp(short, capacity, first)
+    plan = min(first, rounded(fractional, short, capacity), key=lambda p: sum(times for _, times in p))
+    return plan + [({capacity: 1}, full)] * (full > 0)
 
 
-def intervals(plan: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
+def intervals(plan: Plan) -> dict[str, np.ndarray]:
     """For each length and configuration: the first rank, how many go in one sequence, the first sequence, the first offset."""
     rows, taken, sequence = [], {}, 0
     for config, times in plan:
@@ -199,23 +290,22 @@ def intervals(plan: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
             taken[n] = taken.get(n, 0) + k * times
             offset += n * k
         sequence += times
-    if len(rows) > MAX_PLAN:
-        raise ValueError("the plan has outgrown its bound")
     first, each, base, offset = zip(*sorted(rows)) if rows else ((), (), (), ())
     return {"first": np.array(first, "i8"), "each": np.array(each, "i8"), "base": np.array(base, "i8"), "offset": np.array(offset, "i8")}
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece."""
-    cut = as_table(pieces(docs, tokenizer, capacity, end_id), "pieces")
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")
-    cut = cut.withColumn("salt", salt)
-    sums = as_table(cut.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "lengths")  # capacity * SALTS rows at most
-    histogram = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    cut = as_table(pieces(docs, tokenizer, capacity, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
     places = intervals(solve(histogram, capacity))
+    salts = [math.isqrt(max(0, histogram.get(n, 0) - 1)) + 1 for n in range(capacity + 1)]
+    salt = F.pmod(F.xxhash64("row"), F.get(F.expr(f"array({','.join(map(str, salts))})"), F.col("length").cast("int")))
+    cut = cut.withColumn("salt", salt.cast("int"))
+    sums = as_table(cut.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "lengths")
     before = sums.select("length", "salt", (F.sum("n").over(W.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
-    order = W.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = cut.withColumn("rank", F.row_number().over(order) - 1).join(F.broadcast(before), ["length", "salt"])
+    order = W.partitionBy("length", "salt").orderBy("row")
+    ranked = cut.withColumn("rank", F.row_number().over(order) - 1).join(before.hint("merge"), ["length", "salt"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
 
     def run(batches):
