@@ -14,8 +14,14 @@ Secret parts are assign, hex and key. A weak span that overlaps a base span is
 part of it and not reported again. The join is a merge over the sorted spans of
 one text: nothing is shuffled, no pairs are emitted, memory is that of a text.
 
-Null and empty texts have no spans; texts are scanned whole; repeated rows are
-scanned alike. Result columns replace input columns of the same names.
+Every pattern reads a run of letters a bounded number of times, so texts of any
+length take time in proportion. Parts at equal distance all count (a part needs
+one partner), so ties change nothing.
+
+Null and empty texts have no spans, an empty table gives no rows; texts are scanned
+whole; repeated rows are scanned alike. Result columns of secret_scan() replace
+input columns of the same names; clean() returns all input columns and replaces
+text and n_chars alone.
 """
 
 from __future__ import annotations
@@ -30,17 +36,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import shielded
+
 REACH = 200
 #: Kinds in the order of the report, and their patterns.
 KINDS = ("assign", "access", "hex", "ident", "key", "endpoint")
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a run of 20 or more; a shorter run holds no longer one
 HEX = re.compile(r"[0-9a-f]{24,}")
-WEAK = {
-    "ident": re.compile(r"""(?i:\b(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{3,})|\b(?:ASIA|AIDA|AROA)[A-Z0-9]{16}\b|[A-Za-z0-9][A-Za-z0-9._-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+""", re.ASCII),
-    "key": re.compile(r"""(?i:\b(?:pass|pwd|key|auth|credential)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8,})|(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[0-9])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])""", re.ASCII),
-    "endpoint": re.compile(r"""\b(?:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+|\b[a-z0-9.-]+\.(?:amazonaws\.com|windows\.net|googleapis\.com)\b""", re.ASCII),
-}
+#: A mail address begins where its run of letters and marks does, so every run is read once.
+IDENT = re.compile(r"""(?i:\b(?:user(?:name)?|login|client_?id|account(?:_?id)?|access_?key_?id)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9._@-]{3,})|\b(?:ASIA|AIDA|AROA)[A-Z0-9]{16}\b|(?<![A-Za-z0-9._-])[._-]*+(?P<mail>[A-Za-z0-9][A-Za-z0-9._-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)""", re.ASCII)
+KEY = re.compile(r"""(?i:\b(?:pass|pwd|key|auth|credential)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9+/_.=-]{8,})|(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[0-9])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])""", re.ASCII)
+ADDRESS = re.compile(r"""\b(?:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+""", re.ASCII)
+CLOUD = re.compile(r"\.(?:amazonaws\.com|windows\.net|googleapis\.com)\b", re.ASCII)
+HOST_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789.-")
+
+
+def ident_spans(text: str) -> list[tuple[int, int]]:
+    return [m.span("mail") if m["mail"] else m.span() for m in IDENT.finditer(text)]
+
+
+def key_spans(text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in KEY.finditer(text)]
+
+
+def endpoint_spans(text: str) -> list[tuple[int, int]]:
+    """Addresses with a scheme; cloud hosts outside them, each from the beginning of its run to its last known ending."""
+    found = [m.span() for m in ADDRESS.finditer(text)]
+    within, last = Spans(found), 0
+    hosts: list[tuple[int, int]] = []
+    for m in CLOUD.finditer(text):
+        start = m.start()
+        while start > last and text[start - 1] in HOST_LETTERS:
+            start -= 1
+        if hosts and start == hosts[-1][1] == last and start < m.start():
+            start = hosts.pop()[0]
+        if start < m.start():
+            hosts.append((start, m.end()))
+            last = m.end()
+    return sorted(found + [h for h in hosts if not within.overlap(*h)])
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -80,20 +114,20 @@ def scan(text: str | None, reach: int = REACH) -> list[tuple[int, int, int]]:
     base = base_spans(text)
     taken = Spans((s, e) for s, _, e in base)
 
-    def weak(kind: str) -> list[tuple[int, int]]:
-        return [m.span() for m in WEAK[kind].finditer(text) if not taken.overlap(*m.span())]
+    def free(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        return [x for x in spans if not taken.overlap(*x)]
 
     access = [(s, e) for s, k, e in base if k == 1]
     secret = [(s, e) for s, k, e in base if k != 1]
-    key = weak("key")
+    key = free(key_spans(text))
     if not secret and not key:  # nothing weak can be complete without a secret part
         return base
-    ident = weak("ident")
+    ident = free(ident_spans(text))
     names, secrets = Spans(access + ident), Spans(secret + key)
     found = base + [(s, 3, e) for s, e in ident if secrets.near(text, s, e, reach)]
     found += [(s, 4, e) for s, e in key if names.near(text, s, e, reach)]
     if names:
-        found += [(s, 5, e) for s, e in weak("endpoint") if names.near(text, s, e, reach) and secrets.near(text, s, e, reach)]
+        found += [(s, 5, e) for s, e in free(endpoint_spans(text)) if names.near(text, s, e, reach) and secrets.near(text, s, e, reach)]
     return sorted(found)
 
 
@@ -145,8 +179,12 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """``docs`` with secrets taken out of the text, and n_chars after it."""
-    out = secret_scan(docs).withColumn("text", F.col("redacted"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+    """``docs`` with secrets taken out of the text, and n_chars after it; other columns stay as they are, whatever their names."""
+
+    def run(named: DataFrame) -> DataFrame:
+        out = secret_scan(named).withColumn("text", F.col("redacted"))
+        if "n_chars" in docs.columns:
+            out = out.withColumn("n_chars", F.when(F.col("spans") == "", F.col("n_chars")).otherwise(F.length("text").cast(dict(docs.dtypes)["n_chars"])))
+        return out
+
+    return shielded(docs, ["text", "n_chars"], run)
