@@ -2,20 +2,25 @@
 
 A document's ids (with an end id) are cut where a rolling hash of the last
 WINDOW ids has its low bits zero, between MIN_CHUNK and MAX_CHUNK ids, so equal
-passages give equal chunks wherever they stand. The store is three tables:
+passages give equal chunks wherever they stand. The store is four tables:
 
 * chunks: hash (blake2b-128), n, data (little-endian ids, 16 bits wide if the vocabulary allows); each once
 * recipes: row (ascending with doc_id), part, doc_id, n_tokens, hashes and the document's root, range-partitioned and sorted by doc_id
-* manifest: for each part its documents, ids and the root over its documents' roots; the store's root is over the parts'
-
-Reading back checks each chunk against its hash, each document's root against
-the hashes found, and each part's root against the manifest; a mismatch raises.
-CRC-32 sums of documents come from those of their chunks by the CRC's shift
-operator, so no ids are shuffled to sum a document up; read_ids() rebuilds the
-ids themselves.
-
-Null and empty texts hold the end id only. Rows may repeat and ids be null
-(first in order). Only doc_id and text are read.
+* tree: the Merkle tree over the documents' roots, FAN children a node: level by level within each part of
+  the recipes, then over the parts; a node has its documents, ids and hash
+* manifest: one row with the tree's root, documents, ids, the bytes of an id, the end id and the format's name
+
+Everything that reading needs stands in these files. Reading checks the manifest's
+format, each chunk against its hash, each document's root against the hashes found,
+and the tree built anew from those roots, node by node and up to the manifest's
+root; a mismatch raises, whichever of the four tables was damaged. CRC-32 sums of
+documents come from those of their chunks by the CRC's shift operator, so no ids
+are shuffled to sum a document up; read_ids() rebuilds the ids themselves.
+
+Null and empty texts hold the end id only; texts of any length are encoded whole.
+Rows may repeat and ids be null (first in order): rows of equal id stand one after
+the other in any order. An empty table makes a store without rows. Only doc_id and
+text are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from pyspark.sql import Window as W
 from .common import new_path
 
 END_ID, WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 2, 8, 64, 8, 1024
+FAN_BITS, FORMAT = 8, "token-store/2"
+PLACE = (1 << 33) - 1  # the bits of a row number that count within its part
 #: Code points whose lower case Python and the library agree on.
 TRUSTED = re.compile("[^\t-\r -~\xa0-ʯΑ-ΡΣ-ώЀ-џ‐-‧€]")
 #: What the tokenizer takes for words of their own beside runs of letters (of TRUSTED code points).
@@ -150,7 +157,7 @@ def _staged(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
 
 def write_store(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> dict:
-    """Write the store's tables under ``path``; returns its root, numbers of documents, ids and the width of an id."""
+    """Write the store's tables under ``path``; returns the manifest's row."""
     spark = docs.sparkSession
     staged_at = f"{path}/staged"
     _staged(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(staged_at)
@@ -163,15 +170,45 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID
     recipes = recipes.select(F.monotonically_increasing_id().alias("row"), F.spark_partition_id().alias("part"), "*")
     recipes.write.parquet(f"{path}/recipes")
     spark._jvm.org.apache.hadoop.fs.Path(staged_at).getFileSystem(spark._jsc.hadoopConfiguration()).delete(spark._jvm.org.apache.hadoop.fs.Path(staged_at), True)
-    _part_roots(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
-    parts = spark.read.parquet(f"{path}/manifest").orderBy("part").collect()  # a row for each file of recipes
-    return {"root": hashlib.sha256("".join(p["root"] for p in parts).encode()).hexdigest(), "documents": sum(p["documents"] for p in parts), "ids": sum(p["ids"] for p in parts), "width": width}
-
-
-def _part_roots(recipes: DataFrame) -> DataFrame:
-    ordered = F.sort_array(F.collect_list(F.struct("row", "root")))
-    root = F.sha2(F.array_join(F.transform(ordered, lambda x: F.hex(x["root"])), ""), 256)
-    return recipes.groupBy("part").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("ids"), root.alias("root"))
+    top = _write_tree(spark.read.parquet(f"{path}/recipes"), f"{path}/tree")
+    manifest = {"format": FORMAT, "root": top["root"], "documents": top["documents"], "ids": top["ids"], "width": width, "end_id": end_id}
+    spark.createDataFrame([tuple(manifest.values())], "format string, root binary, documents long, ids long, width int, end_id int").coalesce(1).write.parquet(f"{path}/manifest")
+    return manifest
+
+
+def _inner_levels(roots: DataFrame) -> int:
+    """Levels of the tree within the parts, 1 at least."""
+    most = roots.agg(F.max(F.col("row").bitwiseAND(PLACE)).alias("m")).first()["m"] or 0
+    return max(1, -(-most.bit_length() // FAN_BITS))
+
+
+def _write_tree(roots: DataFrame, path: str) -> dict:
+    """Write the Merkle tree over ``roots`` (row, part, n_tokens, root), a folder a level; returns the top node."""
+    spark, inner, level = roots.sparkSession, _inner_levels(roots), 0
+    nodes = roots.select("part", F.col("row").bitwiseAND(PLACE).alias("node"), F.lit(1).cast("long").alias("documents"), F.col("n_tokens").alias("ids"), "root")
+    while True:
+        own = "node" if level < inner else "part"
+        parent = {own: F.shiftright(own, FAN_BITS)} | ({"node": F.lit(0).cast("long")} if own == "part" else {})
+        nodes = nodes.withColumn("own", F.col(own)).withColumns(parent)
+        children = F.sort_array(F.collect_list(F.struct("own", "root")))  # 1 << FAN_BITS at most
+        grouped = nodes.groupBy("part", "node").agg(F.sum("documents").alias("documents"), F.sum("ids").alias("ids"), children.alias("c"))
+        joined = F.array_join(F.transform("c", lambda x: F.hex(x["root"])), "")
+        grouped.select("part", "node", "documents", "ids", F.unhex(F.sha2(joined.cast("binary"), 256)).alias("root")).write.parquet(f"{path}/level={level}")
+        nodes = spark.read.parquet(f"{path}/level={level}")
+        level += 1
+        if level >= inner:
+            parts = nodes.agg(F.count(F.lit(1)).alias("n"), F.max("part").alias("m")).first()
+            if not parts["n"]:
+                return {"root": b"", "documents": 0, "ids": 0}
+            if parts["n"] == 1 and parts["m"] == 0:
+                return nodes.first().asDict()
+
+
+def manifest(spark, path: str) -> dict:
+    rows = spark.read.parquet(f"{path}/manifest").collect()
+    if len(rows) != 1 or rows[0]["format"] != FORMAT:
+        raise ValueError(f"no manifest of a {FORMAT} store")
+    return rows[0].asDict()
 
 
 def _checked_chunks(spark, path: str, width: int, with_data: bool) -> DataFrame:
@@ -181,8 +218,8 @@ def _checked_chunks(spark, path: str, width: int, with_data: bool) -> DataFrame:
         for batch in batches:
             hashes, data = batch.column("hash").to_pylist(), batch.column("data").to_pylist()
             crc = []
-            for h, d in zip(hashes, data):
-                if address(d) != h:
+            for h, d, n in zip(hashes, data, batch.column("n").to_pylist()):
+                if address(d) != h or len(d) != n * width:
                     raise ValueError(f"chunk {h.hex()} is damaged")
                 crc.append(zlib.crc32(np.frombuffer(d, f"<u{width}").astype("<u4").tobytes()))
             out = [batch.column("hash"), batch.column("n"), pa.array(crc, pa.int64())] + [batch.column("data")] * with_data
@@ -227,8 +264,9 @@ def _joined(spark, path: str, width: int, with_data: bool) -> DataFrame:
     return steps.join(chunks, "hash", "left").groupBy("row", "part", "doc_id", "root").agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
-def read_digests(spark, path: str, width: int) -> DataFrame:
+def read_digests(spark, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 (of 32-bit ids) of every document, from the store's files, checked."""
+    said = manifest(spark, path)
 
     def run(batches):
         for batch in batches:
@@ -244,26 +282,36 @@ def read_digests(spark, path: str, width: int) -> DataFrame:
             out = [batch.column("row"), batch.column("part"), batch.column("doc_id"), batch.column("root"), pa.array(n, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(out, ["row", "part", "doc_id", "root", "n_tokens", "ids_crc32"])
 
-    joined = _joined(spark, path, width, False)
+    joined = _joined(spark, path, said["width"], False)
     kind = dict(joined.dtypes)["doc_id"]
     found_at = new_path(spark, "digests")
     joined.mapInArrow(run, f"row long, part int, doc_id {kind}, root binary, n_tokens long, ids_crc32 long").write.parquet(found_at)
     found = spark.read.parquet(found_at)
-    manifest = spark.read.parquet(f"{path}/manifest")
-    parts = _part_roots(found).alias("f").join(manifest.alias("m"), "part", "full_outer")
-    if parts.where("f.root is distinct from m.root or f.ids is distinct from m.ids").count():
-        raise ValueError("a part does not give the root in the manifest")
-    before = manifest.select("part", (F.sum("ids").over(W.orderBy("part")) - F.col("ids")).alias("before"))  # a row for each file of recipes
-    inside = F.sum("n_tokens").over(W.partitionBy("part").orderBy("row")) - F.col("n_tokens")
-    return found.withColumn("inside", inside).join(before, "part").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
-
-
-def read_ids(spark, path: str, width: int) -> DataFrame:
-    """row, doc_id and ids (array<int>) of every document."""
+    again = new_path(spark, "tree")
+    top = _write_tree(found, again)
+    tree, anew = (spark.read.parquet(p) for p in (f"{path}/tree", again))
+    same = " and ".join(f"a.{c} <=> b.{c}" for c in ("level", "part", "node", "documents", "ids", "root"))
+    if tree.alias("a").join(anew.alias("b"), F.expr(same), "left_anti").union(anew.alias("a").join(tree.alias("b"), F.expr(same), "left_anti")).count():
+        raise ValueError("the documents do not give the nodes of the tree")
+    if any(top[c] != said[c] for c in ("root", "documents", "ids")):
+        raise ValueError("the tree does not give the root in the manifest")
+    parts = tree.where(F.col("level") == _inner_levels(found) - 1).select("part", "ids")
+    before = parts.select("part", (F.sum("ids").over(W.orderBy("part")) - F.col("ids")).alias("before"))  # a row for each file of recipes
+    run_up = F.sum("n_tokens").over(W.partitionBy("part").orderBy("row")) - F.col("n_tokens")
+    return found.withColumn("inside", run_up).join(before, "part").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def read_ids(spark, path: str) -> DataFrame:
+    """row, doc_id and ids (array<int>) of every document, each chunk and document's root checked."""
+    width = manifest(spark, path)["width"]
 
     def run(batches):
         for batch in batches:
-            ids = [np.frombuffer(b"".join(i["data"] for i in row), f"<u{width}").astype("i4") for row in batch.column("items").to_pylist()]
+            items = batch.column("items").to_pylist()
+            for row, root in zip(items, batch.column("root").to_pylist()):
+                if any(i["n"] is None for i in row) or address(b"".join(i["hash"] for i in row)) != root:
+                    raise ValueError("a document's chunks do not give its root")
+            ids = [np.frombuffer(b"".join(i["data"] for i in row), f"<u{width}").astype("i4") for row in items]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["row", "doc_id", "ids"])
 
     joined = _joined(spark, path, width, True)
@@ -275,5 +323,5 @@ def query(spark, sf_dir: str) -> DataFrame:
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     path = new_path(spark, "token-store")
-    made = write_store(docs, public_tokenizers.path("word_bpe_49k.json"), path)
-    return read_digests(spark, path, made["width"])
+    write_store(docs, public_tokenizers.path("word_bpe_49k.json"), path)
+    return read_digests(spark, path)
