@@ -13,12 +13,19 @@ posterior(lang | page) ~ prior(lang | host) * P(text | lang) ** TEMPER
   nothing. Both tables P(evidence | lang) are estimated from all pages by grouped
   sums of text posteriors, smoothed with PSEUDO.
 * Host prior: grouped sums of text posteriors by host, shrunk to those of the
-  registered domain, shrunk to those of all pages (KAPPA pseudo-pages each); a
-  page's own posterior is left out of its host's and domain's sums.
+  registered domain (the label before the public suffix, which under a country may
+  have two labels, as co.uk), shrunk to those of all pages (KAPPA pseudo-pages
+  each); a page's own posterior is left out of its host's and domain's sums.
 
 All sums are partial before they are shuffled; a page's row carries a few numbers.
+A host with more than a thousandth of all pages is joined by broadcast (there are
+fewer than a thousand such), the others by shuffle.
+
 Pages with null or empty html, url or either get the remaining evidence alone;
-rows may repeat; a null page_id is kept. Only page_id, url and html are read.
+html of any length is read whole, in time and memory in proportion. Of languages
+with equal posteriors the first by name is given. Rows may repeat; a null page_id
+is kept; an empty table gives no rows, and without labelled documents the language
+is null. Only page_id, url and html are read, whatever other columns are called.
 """
 
 from __future__ import annotations
@@ -29,14 +36,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from .common import as_table
+from .common import as_table, join_skewed
 
-BUCKETS, TRAIN_DOCS, MAX_LANGS = 1 << 15, 400, 64
+BUCKETS, TRAIN_DOCS, SLICE = 1 << 15, 400, 1 << 16
 TEMPER, KAPPA, PSEUDO = 0.3, 8.0, 1.0
 #: Top-level labels that speak for a language.
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh"}
-_TAGS = re.compile(r"(?is)<(script|style|title)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
+#: Second labels that are public under a country's label.
+SECOND = {"ac", "co", "com", "edu", "gob", "gov", "gouv", "ltd", "me", "mil", "ne", "net", "nom", "or", "org", "plc", "sch"}
+#: Markup, each piece to its end or the page's if it has none, so every character is read once.
+_TAGS = re.compile(r"(?is)<(script|style|title)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^>]*(?:>|\Z)")
 #: What an html tag does not count in (to its end, or the page's if it has none), or the tag up to its end.
 _HTML = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)|(<html\b[^>]*)")
 _LANG = re.compile(r"""(?is)\blang\s*=\s*["']?([a-z]{2,3})\b""")
@@ -51,6 +62,12 @@ def declared_language(html: str) -> str | None:
     return None
 
 
+def registered_domain(host: str) -> str:
+    labels = host.split(".")
+    public = 2 if len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in SECOND else 1
+    return ".".join(labels[-1 - public :])
+
+
 def trigram_codes(text: str) -> np.ndarray:
     raw = np.frombuffer((" " + text.lower() + " ").encode("utf-8", "surrogatepass"), "u1").astype("u4")
     return ((raw[:-2] * np.uint32(2654435761) + raw[1:-1] * np.uint32(40503) + raw[2:] * np.uint32(97)) >> np.uint32(7)) & np.uint32(BUCKETS - 1)
@@ -59,37 +76,41 @@ def trigram_codes(text: str) -> np.ndarray:
 def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
     """Languages and log P(trigram bucket | language), from doc_id, text and lang of ``docs``.
 
-    Every language's documents are chosen by id hash without their texts, then counted in parallel.
+    Documents are chosen by id hash in one pass without their texts, ranked in part before the shuffle; then counted in
+    parallel, a table of BUCKETS counts for each language and batch that has any.
     """
-    ids = docs.where("lang is not null and doc_id is not null and text is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-    langs = sorted(r["lang"] for r in ids.select("lang").distinct().limit(MAX_LANGS + 1).collect())
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    chosen = None
-    for lang in langs:
-        some = ids.where(F.col("lang") == lang).orderBy("h", "doc_id").limit(per_language).select("doc_id")
-        chosen = some if chosen is None else chosen.union(some)
-    tables = np.zeros((len(langs), BUCKETS))
-    if chosen is None:
-        return langs, tables
+    named = docs.where("lang is not null and doc_id is not null and text is not null")
+    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = named.select("doc_id", "lang", F.row_number().over(order).alias("r")).where(F.col("r") <= per_language).select("doc_id", "lang").distinct()
 
     def count(batches):
-        sums = {}
         for batch in batches:
+            sums = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 sums.setdefault(lang, np.zeros(BUCKETS, "i8"))
-                sums[lang] += np.bincount(trigram_codes(text), minlength=BUCKETS)
-        for lang, n in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([n.astype("<i8").tobytes()], pa.binary())], ["lang", "counts"])
-
-    texts = docs.where("text is not null").select("doc_id", "lang", "text").join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")  # per_language * MAX_LANGS ids at most
-    for r in texts.coalesce(16).mapInArrow(count, "lang string, counts binary").collect():  # a table for each task and language
-        if r["lang"] in langs:
-            tables[langs.index(r["lang"])] += np.frombuffer(r["counts"], "<i8")
-    tables += 0.05
+                for codes in _slices(text):
+                    sums[lang] += np.bincount(codes, minlength=BUCKETS)
+            yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.string()), pa.array([n.astype("<i8").tobytes() for n in sums.values()], pa.binary())], ["lang", "counts"])
+
+    def total(table: pa.Table) -> pa.Table:
+        n = sum(np.frombuffer(c, "<i8") for c in table["counts"].to_pylist())
+        return pa.table({"lang": table["lang"][:1], "counts": pa.array([n.tobytes()], pa.binary())})
+
+    kind = "lang string, counts binary"
+    texts = named.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
+    rows = texts.mapInArrow(count, kind).groupBy("lang").applyInArrow(total, kind).collect()  # a row for each language
+    found = {r["lang"]: np.frombuffer(r["counts"], "<i8") for r in rows}
+    langs = sorted(found)
+    tables = np.array([found[x] for x in langs], "f8").reshape(len(langs), BUCKETS) + 0.05
     return langs, np.log(tables / tables.sum(1, keepdims=True))
 
 
+def _slices(text: str):
+    """trigram_codes() of a text of any length, SLICE characters at a time."""
+    for at in range(0, max(1, len(text)), SLICE):
+        yield trigram_codes(text[at : at + SLICE])
+
+
 def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     """page_id, host, domain, declared, suffix (numbers: language, L other, L + 1 none) and text (array: tempered log likelihoods, greatest 0)."""
     table, many = np.ascontiguousarray(model.T), len(langs)
@@ -101,13 +122,12 @@ def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame
             for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
                 found = _HOST.match(url or "")
                 host = found[1].lower().rstrip(".") if found else ""
-                labels = host.split(".")
                 said = declared_language(html or "")
                 declared = number.get(said[:2], many) if said else many + 1
-                suffix = number.get(SUFFIXES.get(labels[-1], ""), many + 1)
+                suffix = number.get(SUFFIXES.get(host.rpartition(".")[2], ""), many + 1)
                 text = _TAGS.sub(" ", html or "")
-                score = table[trigram_codes(text)].sum(0) * TEMPER if text.strip() else np.zeros(many)
-                out.append((host, ".".join(labels[-2:]), declared, suffix, (score - score.max(initial=-1e300)).tolist() if many else []))
+                score = sum(table[codes].sum(0) for codes in _slices(text)) * TEMPER if text.strip() else np.zeros(many)
+                out.append((host, registered_domain(host), declared, suffix, (score - score.max(initial=-1e300)).tolist() if many else []))
             cols = [*zip(*out)] or [()] * 5
             types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), *[pa.array(list(c), t) for c, t in zip(cols, types)]], ["page_id", "host", "domain", "declared", "suffix", "text"])
@@ -117,7 +137,7 @@ def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame
 
 
 def _sums(df: DataFrame, *by: str, many: int) -> DataFrame:
-    return df.groupBy(*by).agg(F.array(*[F.round(F.sum(F.col("post")[i]), 6) for i in range(many)]).alias("sums"))
+    return df.groupBy(*by).agg(F.array(*[F.round(F.sum(F.col("post")[i]), 6) for i in range(many)]).alias("sums"), F.count(F.lit(1)).alias("n"))
 
 
 def identify(pages: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -136,13 +156,13 @@ def identify(pages: DataFrame, labelled: DataFrame) -> DataFrame:
         for r in _sums(found, name, many=many).collect():
             table[r[name]] += r["sums"]
         likelihood[name] = np.log(table / table.sum(0))
-    whole = found.agg(*[F.sum(F.col("post")[i]).alias(f"s{i}") for i in range(many)]).first()
+    whole = found.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("post")[i]).alias(f"s{i}") for i in range(many)]).first()
     overall = np.array([whole[i] or 0.0 for i in range(many)]) + 1.0
     overall = np.round(overall / overall.sum(), 9)
-    by_domain = _sums(found, "domain", many=many).withColumnRenamed("sums", "d")
-    by_host = _sums(found, "host", "domain", many=many).withColumnRenamed("sums", "h")
-    hosts = as_table(by_host.join(by_domain, "domain").select("host", "h", "d"), "hosts")
-    joined = found.join(hosts, "host")
+    by_host = as_table(_sums(found, "host", "domain", many=many).withColumnRenamed("sums", "h"), "hosts")
+    sites = by_host.groupBy("domain").agg(F.count(F.lit(1)).alias("sites"), F.array(*[F.round(F.sum(F.col("h")[i]), 6) for i in range(many)]).alias("d"))
+    hosts = join_skewed(by_host, as_table(sites, "domains"), "domain", "sites", by_host.count())
+    joined = join_skewed(found.drop("domain"), as_table(hosts.select("host", "h", "d", "n"), "priors"), "host", "n", whole["n"])
     base = F.array(*[F.lit(float(x)) for x in overall])
     own = lambda name: F.zip_with(name, "post", lambda a, b: F.greatest(a - b, F.lit(0.0)))
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
