@@ -7,21 +7,26 @@ need no coordination. rate_s = budget * w_s / mass_s makes the expected mass of
 each source its share w_s of the budget. Copies are then dealt out at random:
 hash-partitioned by a random key and sorted by it.
 
-Null sources are one source; a null text has mass 0; repeated rows of one id are
-repeated alike. A source without weight has rate 0. Columns ``copy`` and
-``shuffle_key`` replace input columns of these names.
+Null sources are one source; a null text has mass 0 and a text of any length its
+length; repeated rows of one id, and all rows without id, are repeated alike. A
+source without weight has rate 0; an empty table gives no rows. Equal shuffle keys
+(copies of repeated rows) stand in any order. Columns ``copy`` and ``shuffle_key``
+replace input columns of these names; all others stay, whatever they are called.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import as_table
 
 SEED, TEMPERATURE = "ambrel-mix", 0.7
-#: Rates go to every task while there are no more sources than this; beyond, they are joined by salted keys.
-BROADCAST_SOURCES, SALTS = 50_000, 64
+#: Distributions go to every task while they have no more bytes than this; beyond, they are joined by salted keys.
+BROADCAST_BYTES, SALTS = 32 << 20, 64
 
 
 def source_rates(docs: DataFrame, by: str = "source", weights: dict | None = None, temperature: float = TEMPERATURE, budget: float | None = None) -> DataFrame:
@@ -39,20 +44,31 @@ def source_rates(docs: DataFrame, by: str = "source", weights: dict | None = Non
     total = mass.agg(F.sum("mass").alias("mass"), F.sum("weight").alias("weight")).first()
     scale = (budget if budget is not None else total["mass"] or 0) / (total["weight"] or 1)
     rate = F.round(F.when(F.col("mass") > 0, F.lit(float(scale)) * F.col("weight") / F.col("mass")).otherwise(0.0), 9)
-    return mass.select(by, "mass", rate.alias("rate")).withColumn("cdf", poisson_cdf(F.col("rate")))
+    return with_cdf(mass.select(by, "mass", rate.alias("rate")), by)
+
 
+def with_cdf(rates: DataFrame, by: str) -> DataFrame:
+    """``rates`` with cdf: P(X <= 0), P(X <= 1), ... far enough that the rest is below what a double can tell from 1.
 
-def poisson_cdf(rate: Column) -> Column:
-    """P(X <= 0), P(X <= 1), ... far enough that the rest is below what a double can tell from 1."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    zero = F.struct(F.lit(0.0).alias("ln_fact"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("cdf"))
+    A row for each number of copies, summed up in order of numbers: work in proportion to the rates.
+    """
+    rates = as_table(rates, "rates")
+    rate, k = F.col("rate"), F.col("k")
+    last = F.when(rate > 0, F.ceil(rate + 12 * F.sqrt(rate) + 30)).otherwise(0).cast("int")
+    term = F.when(rate > 0, F.exp(k * F.log(rate) - rate - log_factorial(k.cast("double")))).otherwise(1.0)
+    terms = rates.select(by, "rate", F.explode(F.sequence(F.lit(0), last)).alias("k")).withColumn("p", term)
+    sums = terms.withColumn("c", F.sum("p").over(W.partitionBy(by).orderBy("k")))
+    cdf = sums.groupBy(F.col(by).alias("__m_cdf_by")).agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("cdf"))
+    return rates.join(cdf, F.col(by).eqNullSafe(F.col("__m_cdf_by"))).drop("__m_cdf_by")
 
-    def add(a, k):
-        ln_fact = a["ln_fact"] + F.when(k > 0, F.log(k.cast("double"))).otherwise(0.0)
-        total = a["sum"] + F.exp(k * F.log(rate) - rate - ln_fact)
-        return F.struct(ln_fact.alias("ln_fact"), total.alias("sum"), F.concat(a["cdf"], F.array(total)).alias("cdf"))
 
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(0), last), zero, add, lambda a: a["cdf"])).otherwise(F.array(F.lit(1.0)))
+def log_factorial(k: Column) -> Column:
+    """ln k!, by Stirling's series ten steps above k."""
+    y = k + 11
+    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3))) + 1 / (1260 * F.pow(y, F.lit(5)))
+    for i in range(1, 11):
+        series = series - F.log(k + i)
+    return series
 
 
 def uniform(seed: str, *cols: str) -> Column:
@@ -63,13 +79,14 @@ def uniform(seed: str, *cols: str) -> Column:
 
 def poisson_replicate(docs: DataFrame, rates: DataFrame, by: str = "source", seed: str = SEED, doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with every row repeated; adds copy (int, from 0) and shuffle_key, by which the rows are dealt and sorted."""
-    rates = as_table(rates.select(F.col(by).alias("__m_by"), "cdf"), "rates")
-    if rates.count() <= BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(rates.withColumnRenamed("cdf", "__m_cdf")), F.col(by).eqNullSafe(F.col("__m_by")))
+    rates = as_table(rates.select(F.col(by).alias("__m_by"), F.col("cdf").alias("__m_cdf")), "distributions")
+    size = rates.agg(F.sum(8 * F.size("__m_cdf") + 64 + F.coalesce(F.octet_length(F.col("__m_by").cast("string")), F.lit(0))).alias("b")).first()["b"] or 0
+    if size <= BROADCAST_BYTES:
+        joined = docs.join(F.broadcast(rates), F.col(by).eqNullSafe(F.col("__m_by")))
     else:
-        salted = rates.select("__m_by", F.col("cdf").alias("__m_cdf"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__m_salt"))
-        salt = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(SALTS)).cast("int")
-        joined = docs.join(salted, F.col(by).eqNullSafe(F.col("__m_by")) & (salt == F.col("__m_salt"))).drop("__m_salt")
+        salted = rates.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__m_salt"))
+        dealt = docs.withColumn("__m_own", F.pmod(F.xxhash64(F.col(doc_id)), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(salted, F.col(by).eqNullSafe(F.col("__m_by")) & (F.col("__m_own") == F.col("__m_salt"))).drop("__m_salt", "__m_own")
     u = uniform(seed, doc_id)
     times = F.size(F.filter("__m_cdf", lambda c: c <= u))
     out = joined.withColumn("__m_n", times).where("__m_n > 0").withColumn("copy", F.explode(F.expr("sequence(0, __m_n - 1)")))
