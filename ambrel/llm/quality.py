@@ -11,9 +11,11 @@ taken, so no further correction is needed along the ladder. With probability
 ``1 - delta``, in every stratum at most ``alpha`` of good documents are turned
 away. A stratum with too few labels gets no cutoff and loses nothing.
 
-Null texts count as empty, null strata are a stratum of their own, null ids
-never match a label; repeated rows are judged alike. Computed columns replace
-input columns of the same names.
+Null texts count as empty, texts of any length are read whole; null strata are a
+stratum of their own, null ids never match a label; repeated rows are judged alike,
+and rows exactly at a cutoff are kept. Without labels, or on an empty table, no
+cutoff is safe and the base rules alone judge. Computed columns replace input
+columns of the same names; all others stay, whatever they are called.
 """
 
 from __future__ import annotations
@@ -145,19 +147,25 @@ def fit(rows: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float
 
 def judge(rows: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataFrame:
     """``rows`` with base_failed and kept; ``cuts``: what fit() gave, as a table of known size."""
+    named = cuts.select(F.col("stratum").alias("__q_stratum"), *[F.col(f"`cut_{r}`").alias(f"__q_cut_{i}") for i, r in enumerate(RULES)])
     over = F.lit(False)
-    for r in RULES:
-        over = over | F.coalesce(signal(r) > F.col(f"`cut_{r}`"), F.lit(False))
-    joined = rows.join(cuts.withColumnRenamed("stratum", "__q_stratum"), F.col(stratum).eqNullSafe(F.col("__q_stratum")), "left")
+    for i, r in enumerate(RULES):
+        over = over | F.coalesce(signal(r) > F.col(f"__q_cut_{i}"), F.lit(False))
+    joined = rows.join(named, F.col(stratum).eqNullSafe(F.col("__q_stratum")), "left")
     out = joined.withColumns({"base_failed": base_failed(), "kept": ~(base_failed() | over)})
-    return out.select(*dict.fromkeys([*rows.columns, "base_failed", "kept"]))
+    return out.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*rows.columns, "base_failed", "kept"])])
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``docs`` with features, base_failed and kept. ``docs`` is read once: what it and the features hold is kept as a table."""
-    rows = as_table(features(docs), "quality")
-    cuts = as_table(fit(rows.select("doc_id", stratum, *BASE, "n_lines"), labels, stratum, alpha, delta), "cutoffs")
-    return judge(rows, cuts, stratum)
+    """``docs`` with features, base_failed and kept.
+
+    Cutoffs are fitted on the documents that a label calls good, whose features are made apart, so no text is written; the
+    judging pass then makes those of all documents.
+    """
+    good = labels.where("doc_id is not null and quality = 1").select("doc_id")
+    held = features(docs.select("doc_id", stratum, "text").join(good, "doc_id", "left_semi")).select("doc_id", stratum, *BASE, "n_lines")
+    cuts = as_table(fit(held, labels, stratum, alpha, delta), "cutoffs")
+    return judge(features(docs), cuts, stratum)
 
 
 def _sql() -> str:
