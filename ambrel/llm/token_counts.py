@@ -20,7 +20,13 @@ again from there. Counts are summed by text.
 Normalisation (NFC, lower case) and word classes are those of the tokenizer file
 for the code points in TRUSTED; other texts, and texts with special strings, are
 encoded by the library itself. Null and empty texts count 0 bytes and 0 tokens.
-Repeated rows count alike; result columns replace input columns of those names.
+Repeated rows count alike, and so do rows without id; texts of any length are counted
+whole; an empty table gives no rows. Result columns replace input columns of those
+names; all others stay, whatever they are called.
+
+There are never more than MAX_STATES states: a piece of text that needs more is
+begun again with an empty table, in halves if need be, and a single text that
+needs more by itself goes to the library.
 """
 
 from __future__ import annotations
@@ -42,7 +48,6 @@ LIMIT = 2048
 #: Texts with other code points go to the library: its Unicode version may know them otherwise.
 TRUSTED = re.compile("[^\t-\r -~\xa0-ʯΑ-ΡΣ-ώЀ-џ‐-‧€]")
 PIECE, CHUNKS, MAX_STATES = 2_000_000, 4096, 98_000
-GROWTH = 16_384
 UNKNOWN = 1  # state number; 0 is the start of a word
 
 
@@ -53,6 +58,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Full(Exception):
+    """MAX_STATES are not enough."""
+
+
 class Transducer:
     END = b"\xff"  # stands behind a word's last byte; never in UTF-8
 
@@ -96,10 +105,10 @@ class Transducer:
     def reset(self) -> None:
         self.states: list = [(b"", ((-1, 0),)), None]
         self.number = {self.states[0]: 0}
-        self.next = np.full((GROWTH, self.n_cols), -1, "i4")
-        self.out = np.zeros((GROWTH, self.n_cols), "i1")
+        self.next = np.zeros((MAX_STATES, self.n_cols), "i4")  # the state's number and 1; 0: not yet compiled, memory not yet taken
+        self.out = np.zeros((MAX_STATES, self.n_cols), "i1")
         half = self.n_cols // 2
-        self.next[UNKNOWN, :half], self.next[UNKNOWN, half:] = UNKNOWN, 0
+        self.next[UNKNOWN, :half], self.next[UNKNOWN, half:] = UNKNOWN + 1, 1
 
     def merge(self, text: bytes) -> list[bytes]:
         """Byte-pair encoding by definition: again and again the best-ranked pair, leftmost first."""
@@ -150,26 +159,25 @@ class Transducer:
             raise AssertionError("a text without encoding")
         count = start[1] + 1
         if col >= half:
-            self.next[state, col], self.out[state, col] = 0, count
+            self.next[state, col], self.out[state, col] = 1, count
             return
         live = [(s[0], s[1] - count) if s is not None and seen[i:] in self.prefixes else None for i, s in enumerate(starts)] + [(token, 0)]
         first = next(i for i, s in enumerate(live) if s is not None)
         new = (seen[first:], tuple(live[first:]))
         if new not in self.number:
+            if len(self.states) == MAX_STATES:
+                raise _Full
             self.number[new] = len(self.states)
             self.states.append(new)
-            if len(self.states) > len(self.next):
-                self.next = np.concatenate([self.next, np.full((GROWTH, self.n_cols), -1, "i4")])
-                self.out = np.concatenate([self.out, np.zeros((GROWTH, self.n_cols), "i1")])
-        self.next[state, col], self.out[state, col] = self.number[new], count
+        self.next[state, col], self.out[state, col] = self.number[new] + 1, count
 
     def step(self, states: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         to = self.next[states, cols]
-        while (to < 0).any():
-            for s, c in {*zip(states[to < 0].tolist(), cols[to < 0].tolist())}:
+        while not to.all():
+            for s, c in {*zip(states[to == 0].tolist(), cols[to == 0].tolist())}:
                 self.compile(s, c)
             to = self.next[states, cols]
-        return to, self.out[states, cols]
+        return to - 1, self.out[states, cols]
 
     def symbols(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Table columns of the words' bytes in a normalised text, and for each byte the number of its code point."""
@@ -242,29 +250,43 @@ class Transducer:
 
     def counts(self, texts: list[str]) -> np.ndarray:
         result = np.zeros(len(texts), "i8")
-        if len(self.states) > MAX_STATES:
-            self.reset()
         for lo, hi in in_pieces(texts, PIECE):
-            plain, direct = [], []
+            plain = []
             for i in range(lo, hi):
                 t = texts[i]
-                (direct if TRUSTED.search(t) or self.special.search(t) else plain).append(i)
-            if direct:
-                for i in direct:
-                    result[i] = len(self.library.encode(texts[i], add_special_tokens=False).ids)
-            if not plain:
-                continue
-            normal = [unicodedata.normalize("NFC", texts[i]).replace("Σ", "σ").lower() for i in plain]
-            cols, char = self.symbols("\n".join(normal))
-            if not len(cols):
-                continue
-            if (cols < 0).any():
-                raise AssertionError("a byte outside the alphabet")
-            emitted = np.concatenate([[0], np.cumsum(self.chunk_counts(cols), dtype="i8")])
-            starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in normal])])
-            result[plain] = np.diff(emitted[np.searchsorted(char, starts)])
+                if TRUSTED.search(t) or self.special.search(t):
+                    result[i] = self.by_library(t)
+                else:
+                    plain.append(i)
+            if plain:
+                result[plain] = self.plain_counts([texts[i] for i in plain])
         return result
 
+    def by_library(self, text: str) -> int:
+        return len(self.library.encode(text, add_special_tokens=False).ids)
+
+    def plain_counts(self, texts: list[str]) -> np.ndarray:
+        """Counts of texts that the transducer knows all of."""
+        normal = [unicodedata.normalize("NFC", t).replace("Σ", "σ").lower() for t in texts]
+        cols, char = self.symbols("\n".join(normal))
+        if not len(cols):
+            return np.zeros(len(texts), "i8")
+        if (cols < 0).any():
+            raise AssertionError("a byte outside the alphabet")
+        for _ in range(2):  # with the states there are, then from none
+            try:
+                emitted = np.concatenate([[0], np.cumsum(self.chunk_counts(cols), dtype="i8")])
+                break
+            except _Full:
+                self.reset()
+        else:
+            if len(texts) == 1:
+                return np.array([self.by_library(texts[0])])
+            half = len(texts) // 2
+            return np.concatenate([self.plain_counts(texts[:half]), self.plain_counts(texts[half:])])
+        starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in normal])])
+        return np.diff(emitted[np.searchsorted(char, starts)])
+
 
 @functools.lru_cache(maxsize=2)
 def transducer(path: str) -> Transducer:
