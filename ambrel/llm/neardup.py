@@ -19,17 +19,25 @@ of texts, each at 0.8 or more to the next, connects them.
    with probability (1 - 0.8**5)**30 < 1e-5.
 4. In a bucket every text is compared with a hub, the text that has the most
    company over all its buckets (in a group of copies, the one they stem from).
-   Verified links give components. Buckets that still hold several components
-   are compared across them by finer sketches (FINE components, made for these
-   texts alone), in blocks, and
-   only pairs whose estimate is at most MARGIN (four deviations) below the
+   Verified links give components. In a bucket that still holds several, the texts
+   outside its largest component are compared with all texts of other components,
+   by finer sketches (FINE components, made for these texts alone), block by
+   block; only pairs whose estimate is at most MARGIN (four deviations) below the
    threshold go on. Nothing is capped, and pairs are never all made.
-5. Every pair is verified on the multisets of the two whole texts.
+5. Every pair is verified on the multisets of the two whole texts. A hub's pairs are
+   dealt in groups of HUB_ROWS, each with the hub's text.
+
+A bucket with more than a thousandth of all rows is joined by broadcast (there are
+fewer than a thousand such), the others by shuffle.
 
 Components come from alternating star contractions over tables in the shared
 folder. Null texts are classes of their own; texts under five words (empty ones
-too) match only their exact copies. Rows may repeat and doc_id be null: rows
-carry numbers of their own.
+too) match only their exact copies; texts of any length are read whole. Rows may
+repeat and doc_id be null: rows carry numbers of their own, and a class is named by
+its least doc_id, null only if all are null. A similarity of exactly the threshold
+links; of hubs with equal company the smaller number is taken. An empty table gives
+no rows. Only doc_id and text are read; deduplicate() returns all columns as they
+are, whatever they are called.
 """
 
 from __future__ import annotations
@@ -39,12 +47,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_table, in_pieces
+from .common import as_table, in_pieces, join_skewed
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 5
 M = BANDS * ROWS
-PIECE, BLOCK = 1_500_000, 1024
+PIECE, BLOCK, HUB_ROWS = 1_500_000, 1024, 256
 #: Sketches estimate the similarity with a deviation of (0.8 * 0.2 / FINE) ** 0.5 = 0.014 at 0.8.
 FINE, MARGIN = 800, 0.06
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -199,8 +207,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                 keep.append(bag_similarity(_bag(mine[i].as_py()), bag) >= threshold)
             yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(c, keep) if k], pa.int64()) for c in (ids, hubs)], ["id", "hub"])
 
-    with_mine = pairs.join(texts, "id")
-    joined = with_mine.join(texts.select(F.col("id").alias("hub"), F.col("text").alias("hub_text")), "hub")
+    groups = F.ceil(F.col("of_hub") / HUB_ROWS).cast("int")
+    dealt = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("of_hub")).select("hub", "of_hub", groups.alias("groups"))
+    hubs = dealt.join(texts.select(F.col("id").alias("hub"), F.col("text").alias("hub_text")), "hub")
+    hubs = hubs.select("hub", "hub_text", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("deal"))
+    counted = join_skewed(pairs, dealt, "hub", "of_hub", pairs.count())
+    mine = counted.select("id", "hub", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int").alias("deal")).join(texts, "id")
+    joined = mine.join(hubs, ["hub", "deal"]).sortWithinPartitions("hub", "deal")
     return joined.select("id", "hub", "text", "hub_text").mapInArrow(run, "id long, hub long")
 
 
@@ -231,10 +244,11 @@ def _compared(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame,
     firsts = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     firsts = as_table(firsts.select("k1", "k2", F.col("first.row").alias("id"), F.col("first.doc_id").alias("doc_id"), "n", "bands"), "texts")
     band = firsts.select("id", "n", F.posexplode("bands").alias("k", "b"))
-    many = band.groupBy("b").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = band.join(many, "b")
+    many = as_table(band.groupBy("b").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+    total = many.agg(F.sum("size").alias("n")).first()["n"] or 0
+    shared = join_skewed(band, many, "b", "size", total)
     score = shared.groupBy("id").agg(F.sum("size").alias("score"))
-    shared = as_table(shared.join(score, "id").select("b", "k", "id", "n", "score"), "buckets")
+    shared = as_table(shared.join(score, "id").select("b", "k", "id", "n", "size", "score"), "buckets")
     return rows, firsts, _linked(docs, firsts, shared, threshold)
 
 
@@ -256,22 +270,21 @@ def _linked(docs: DataFrame, firsts: DataFrame, shared: DataFrame, threshold: fl
     texts = source.alias("s").join(wanted.alias("w"), on).select("id", "text").groupBy("id").agg(F.first("text").alias("text"))
     texts = as_table(texts, "bodies")
 
-    def stars(buckets: DataFrame, hubs: DataFrame) -> DataFrame:
-        pairs = buckets.join(hubs, "b").where((F.col("id") != F.col("hub")) & _similar_length("n", "hub_n", threshold))
-        return pairs.select("id", "hub").distinct()
-
+    rows = shared.count()
     hub = F.max(F.struct("score", (-F.col("id")).alias("i"), "n")).alias("h")
-    hubs = shared.groupBy("b").agg(hub).select("b", (-F.col("h.i")).alias("hub"), F.col("h.n").alias("hub_n"))
-    tried = shared.join(hubs, "b").where((F.col("id") != F.col("hub")) & _similar_length("n", "hub_n", threshold))
+    hubs = shared.groupBy("b").agg(hub, F.count(F.lit(1)).alias("size")).select("b", "size", (-F.col("h.i")).alias("hub"), F.col("h.n").alias("hub_n"))
+    tried = join_skewed(shared.drop("size"), as_table(hubs, "hubs"), "b", "size", rows).where((F.col("id") != F.col("hub")) & _similar_length("n", "hub_n", threshold))
     tried = as_table(tried.select("id", "hub").distinct(), "pairs")
     links = as_table(_verified(tried, texts, threshold), "links")
     comps = as_table(components(links), "components")
 
-    marked = shared.select("b", "k", "id", "n").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    several = marked.groupBy("b").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("b", "size")
-    mixed = as_table(marked.join(several, "b"), "mixed")
+    marked = as_table(shared.select("b", "k", "id", "n").join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "marked")
+    parts = marked.groupBy("b", "comp").agg(F.count(F.lit(1)).alias("m"))
+    several = parts.groupBy("b").agg(F.sum("m").alias("size"), F.max(F.struct("m", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    several = as_table(several.select("b", "size", F.col("top.comp").alias("main"), (F.col("size") - F.col("top.m")).alias("strays")), "several")
+    mixed = as_table(join_skewed(marked, several, "b", "size", rows), "mixed")
     sources = mixed.select("id").distinct().join(texts, "id").join(firsts.select("id", "bands"), "id")
-    pairs = _across(mixed, _sketches(sources), threshold)
+    pairs = _across(mixed, as_table(_sketches(sources), "sketches"), threshold)
     known = tried.union(tried.select(F.col("hub").alias("id"), F.col("id").alias("hub")))
     pairs = as_table(pairs.join(known, ["id", "hub"], "left_anti"), "pairs")
     more = as_table(_verified(pairs, texts, threshold), "links")
@@ -297,30 +310,32 @@ def _sketches(texts: DataFrame) -> DataFrame:
 
 
 def _across(rows: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (id, hub) across components within a bucket (b, k, id, n, comp, size) whose sketches leave the threshold possible.
+    """Pairs (id, hub) across components within a bucket whose sketches leave the threshold possible.
 
-    A bucket is dealt into blocks of about BLOCK rows; a task holds two blocks, compares their sketches as arrays
-    and gives out only the pairs that may reach the threshold, each in the first band that it shares.
+    ``rows``: b, k, id, n, comp, size, main (the bucket's largest component) and strays (the number of texts outside it).
+    Strays are dealt into blocks of about BLOCK and meet all texts of the bucket, dealt into blocks too; a task holds two
+    blocks, compares their sketches as arrays and gives out only the pairs that may reach the threshold, each in the first
+    band that it shares. Two strays are compared once, with the smaller id as the stray.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    dealt = rows.select("b", "k", "id", "n", "comp", mine.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = dealt.select("b", "k", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "n", "comp").join(sketches, "id")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    deal = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    strays = rows.where("comp <> main").select("b", "k", deal("strays").alias("i"), every("size").alias("j"), F.lit(0).alias("side"), "id", "n", "comp", "main")
+    others = rows.select("b", "k", every("strays").alias("i"), deal("size").alias("j"), F.lit(1).alias("side"), "id", "n", "comp", "main")
+    dealt = strays.union(others).join(sketches, "id")
     least = threshold - MARGIN
-    inputs = ("mine", "id", "n", "comp", "tags", "sketch")
+    inputs = ("side", "id", "n", "comp", "main", "tags", "sketch")
 
     def close(group, held):
-        if len(held) < 2:
-            return
-        _, k, i, j = group
-        mine, ids, sizes, comps, tags, sketch = zip(*held)
-        mine, ids, sizes, comps = (np.array(x) for x in (mine, ids, sizes, comps))
+        k = group[1]
+        side, ids, sizes, comps, mains, tags, sketch = zip(*held)
+        ids, sizes, comps = (np.array(x, "i8") for x in (ids, sizes, comps))
         tags, sketch = np.frombuffer(b"".join(tags), "<u4").reshape(len(held), -1), np.frombuffer(b"".join(sketch), "u1").reshape(len(held), -1)
-        for x in range(len(held) - 1):
-            ok = (comps[x + 1 :] != comps[x]) & (np.minimum(sizes[x + 1 :], sizes[x]) >= threshold * np.maximum(sizes[x + 1 :], sizes[x]))
-            if i != j:
-                ok &= mine[x + 1 :] != mine[x]
-            at = np.flatnonzero(ok) + x + 1
+        main, other = mains[0], np.flatnonzero(np.array(side) == 1)
+        for x in np.flatnonzero(np.array(side) == 0).tolist():
+            ok = (comps[other] != comps[x]) & ((comps[other] == main) | (ids[other] > ids[x]))
+            ok &= np.minimum(sizes[other], sizes[x]) >= threshold * np.maximum(sizes[other], sizes[x])
+            at = other[ok]
             if at.size:
                 at = at[~(tags[at, :k] == tags[x, :k]).any(1)]
                 at = at[(sketch[at] == sketch[x]).mean(1) >= least]
@@ -331,14 +346,15 @@ def _across(rows: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame
         emit = lambda found: pa.RecordBatch.from_arrays([pa.array([int(p[c]) for p in found], pa.int64()) for c in (0, 1)], ["id", "hub"])
         for batch in batches:
             found = []
-            for *key, a, b, c, d, e, f in zip(*(batch.column(c).to_pylist() for c in ("b", "k", "i", "j", *inputs))):
+            for *key, a, b, c, d, e, f, g in zip(*(batch.column(c).to_pylist() for c in ("b", "k", "i", "j", *inputs))):
                 if key != group:
-                    found += close(group, held)
+                    if held:
+                        found += close(group, held)
                     group, held = key, []
-                held.append((a, b, c, d, e, f))
+                held.append((a, b, c, d, e, f, g))
             if found:
                 yield emit(found)
-        if found := [*close(group, held)]:
+        if held and (found := [*close(group, held)]):
             yield emit(found)
 
     dealt = dealt.select("b", "k", "i", "j", *inputs).repartition("b", "i", "j").sortWithinPartitions("b", "i", "j")
