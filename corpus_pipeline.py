@@ -3,7 +3,15 @@
 Quality rules turn documents away, near-duplicates leave one of each class,
 secrets are taken out of the texts, sources are mixed to their target weights,
 and what results is packed. All stages but the last return the columns of
-documents; repeated documents of the mix are rows of their own.
+documents; repeated documents of the mix are rows of their own. Further columns
+pass through as they are, whatever they are called; secrets change text and
+n_chars alone.
+
+Null texts fail the base quality rules, as do empty ones; null ids, sources and
+languages are kept as the stages' operators say; texts of any length are read
+whole; of repeated rows one stays after the near-duplicate stage. An empty table
+gives no rows at every stage. What a stage has written for itself is deleted when
+its result is written, and each stage's result when the next one's is.
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ from ambrel.llm import common, mixing, neardup, packing, quality, secrets
 
 def quality_stage(spark, docs, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.quality_rules(docs, labels).where("kept").select(*docs.columns)
+    return common.shielded(docs, ["doc_id", "text", "lang"], lambda named: quality.quality_rules(named, labels).where("kept"))
 
 
 def near_dedup_stage(spark, docs, sf_dir):
@@ -25,7 +33,8 @@ def secrets_stage(spark, docs, sf_dir):
 
 
 def mixing_stage(spark, docs, sf_dir):
-    return mixing.poisson_replicate(docs, mixing.source_rates(docs)).select(*docs.columns)
+    rates = mixing.source_rates(docs)
+    return common.shielded(docs, ["doc_id", "source"], lambda named: mixing.poisson_replicate(named, rates))
 
 
 def packing_stage(spark, docs, sf_dir):
@@ -44,7 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), common.made_so_far()
     for name, stage in STAGES:
-        docs = common.as_table(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = common.new_path(spark, f"stage-{name}")
+        result = stage(spark, docs, sf_dir)
+        result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        common.clear(spark, before, keep=(path,))
     return docs
