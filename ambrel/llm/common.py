@@ -76,12 +76,12 @@ def join_skewed(left: DataFrame, right: DataFrame, key: str, n: str, total: int)
     """The inner join on ``key``, unique in ``right``, whose column ``n`` counts the rows of ``left`` with that key.
 
     Keys that more than one in HOT of the ``total`` rows have, fewer than HOT by this proof, are broadcast; of the others
-    none is hot, and they are shuffled.
+    none is hot, and they are shuffled at every size: a table that grows with the input is not broadcast while it is small.
     """
     hot = F.col(n) * HOT > total
     some = F.broadcast(right.where(hot))
     rest = left.join(F.broadcast(right.where(hot).select(key)), key, "left_anti")
-    return left.join(some, key).union(rest.join(right.where(~hot), key))
+    return left.join(some, key).union(rest.join(right.where(~hot).hint("merge"), key))
 
 
 def shielded(docs: DataFrame, used: list[str], run) -> DataFrame:

@@ -42,6 +42,7 @@ from .common import as_table, join_skewed
 
 BUCKETS, TRAIN_DOCS, SLICE = 1 << 15, 400, 1 << 16
 TEMPER, KAPPA, PSEUDO = 0.3, 8.0, 1.0
+OVERSAMPLE, BROADCAST_ROWS = 5, 1_000_000
 #: Top-level labels that speak for a language.
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh"}
 #: Second labels that are public under a country's label.
@@ -76,12 +77,19 @@ def trigram_codes(text: str) -> np.ndarray:
 def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
     """Languages and log P(trigram bucket | language), from doc_id, text and lang of ``docs``.
 
-    Documents are chosen by id hash in one pass without their texts, ranked in part before the shuffle; then counted in
-    parallel, a table of BUCKETS counts for each language and batch that has any.
+    Documents are chosen by id hash without their texts: of a language with n those below OVERSAMPLE * per_language / n are
+    ranked, a number that does not grow with the input. They are then counted in parallel, a table of BUCKETS counts for
+    each language and batch that has any.
     """
     named = docs.where("lang is not null and doc_id is not null and text is not null")
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = named.select("doc_id", "lang", F.row_number().over(order).alias("r")).where(F.col("r") <= per_language).select("doc_id", "lang").distinct()
+    sizes = as_table(named.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    few = sizes.count() * per_language * OVERSAMPLE <= BROADCAST_ROWS
+    small = F.broadcast if few else lambda df: df
+    u = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(2**53))
+    near = named.select("doc_id", "lang", u.alias("u")).join(small(sizes), "lang").where(F.col("u") * F.col("n") <= OVERSAMPLE * per_language)
+    order = W.partitionBy("lang").orderBy("u", "doc_id")
+    chosen = near.select("doc_id", "lang", F.row_number().over(order).alias("r")).where(F.col("r") <= per_language).select("doc_id", "lang").distinct()
+    chosen = as_table(chosen, "chosen")
 
     def count(batches):
         for batch in batches:
@@ -97,7 +105,7 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> tuple[list[str], n
         return pa.table({"lang": table["lang"][:1], "counts": pa.array([n.tobytes()], pa.binary())})
 
     kind = "lang string, counts binary"
-    texts = named.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
+    texts = named.select("doc_id", "lang", "text").join(small(chosen), ["doc_id", "lang"], "left_semi")
     rows = texts.mapInArrow(count, kind).groupBy("lang").applyInArrow(total, kind).collect()  # a row for each language
     found = {r["lang"]: np.frombuffer(r["counts"], "<i8") for r in rows}
     langs = sorted(found)

@@ -82,9 +82,10 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     words = F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     both = lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("d"))
-    out = docs.withColumns({"__q_w": let(words, measures), "__q_l": let(lines, both), "__q_s": F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", ""))})
-    cols = {"n_words": "__q_w.n", "word_chars": "__q_w.c", "n_symbols": "__q_s", "n_lines": "__q_l.n", "n_dup_lines": "__q_l.d", "n_repeat_words": "__q_w.r"}
-    return out.withColumns({k: F.col(v).cast("long") for k, v in cols.items()}).drop("__q_w", "__q_l", "__q_s")
+    made = F.struct(let(words, measures).alias("w"), let(lines, both).alias("l"), F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).alias("s"))
+    out = docs.withColumn("__q", F.explode(F.array(made)))  # one row; a filter on the results does not repeat the expressions
+    cols = {"n_words": "__q.w.n", "word_chars": "__q.w.c", "n_symbols": "__q.s", "n_lines": "__q.l.n", "n_dup_lines": "__q.l.d", "n_repeat_words": "__q.w.r"}
+    return out.withColumns({k: F.col(v).cast("long") for k, v in cols.items()}).drop("__q")
 
 
 def signal(rule: str) -> Column:
@@ -159,12 +160,11 @@ def judge(rows: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataFrame:
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """``docs`` with features, base_failed and kept.
 
-    Cutoffs are fitted on the documents that a label calls good, whose features are made apart, so no text is written; the
-    judging pass then makes those of all documents.
+    Cutoffs are fitted on a table of the features alone; the judging pass makes them again, so no text is written or
+    shuffled.
     """
-    good = labels.where("doc_id is not null and quality = 1").select("doc_id")
-    held = features(docs.select("doc_id", stratum, "text").join(good, "doc_id", "left_semi")).select("doc_id", stratum, *BASE, "n_lines")
-    cuts = as_table(fit(held, labels, stratum, alpha, delta), "cutoffs")
+    rows = as_table(features(docs).select("doc_id", stratum, *BASE, "n_lines"), "quality")
+    cuts = as_table(fit(rows, labels, stratum, alpha, delta), "cutoffs")
     return judge(features(docs), cuts, stratum)
 
 
