@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import new_path
+from .common import in_pieces, new_path
 
 END_ID, WINDOW, MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 2, 8, 64, 8, 1024
 FAN_BITS, FORMAT = 8, "token-store/2"
@@ -51,16 +51,32 @@ DIGIT = re.compile("[0-9²³¹¼½¾]")
 MARKS = re.compile("[%s]+" % re.escape("".join(sorted({c for t in map(chr, range(0x20AD)) if not TRUSTED.match(t) for c in t.lower() if re.match(r"[^\s\w]|_", c)}))))
 
 
+class _Words(dict):
+    """Numbers of words in the order met; ``new`` are those that nobody has encoded yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new, self.chars = [], 0
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        self.new.append(word)
+        self.chars += len(word)
+        return at
+
+
 class WordEncoder:
     """Ids of whole texts of a vocabulary with word ends, numbered in merge order.
 
-    The file's merges, read as ranks, drive the faster tiktoken core, where a space after each word stands for its
-    end: letters with a word end have lower ids than all merges, so a word's end joins its last letter first, as it
-    stands from the beginning in the library. Texts with special strings or code points outside TRUSTED go to the
-    library whole.
+    Each word is encoded when first met and then looked up; what is known is forgotten beyond KNOWN words or characters,
+    between texts, so it changes no id. New words are encoded together: the file's merges, read as ranks, drive the faster
+    tiktoken core, where a space after each word stands for its end: letters with a word end have lower ids than all
+    merges, so a word's end joins its last letter first, as it stands from the beginning in the library. Texts with special
+    strings or code points outside TRUSTED go to the library whole.
     """
 
     END = "</w>"
+    KNOWN, KNOWN_CHARS, PIECE = 1 << 19, 1 << 23, 1 << 22
 
     def __init__(self, path: str):
         import tiktoken
@@ -76,28 +92,63 @@ class WordEncoder:
         special = {t.content for t in self.library.get_added_tokens_decoder().values()}
         self.special = [t.lower() for t in special]  # a text may hold them in any case: lower-casing comes after
         letters = byte_letters()
-        ranks = {}
+        ranks, self.last = {}, np.zeros(self.library.get_vocab_size(), bool)
         for token, i in self.library.get_vocab(False).items():
             if token not in special:
                 body = token.removesuffix(self.END)
                 ranks[bytes(letters[c] for c in body) + b" " * (body != token)] = i
+                self.last[i] = body != token
         self.fast = tiktoken.Encoding("ranks", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+        self._forget()
 
-    def ids_of(self, text: str) -> np.ndarray:
+    def _forget(self) -> None:
+        self.words, self.flat, self.ends = _Words(), np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def _learn(self) -> None:
+        if self.words.new:
+            ids = self.fast.encode_to_numpy(" ".join(self.words.new) + " ", disallowed_special=())
+            self.ends = np.append(self.ends, np.flatnonzero(self.last[ids]) + 1 + len(self.flat))
+            self.flat = np.append(self.flat, ids.astype(self.dtype))
+            self.words.new = []
+
+    def _words_of(self, text: str) -> list[str] | None:
+        """The words of a text; none at all if the library has to encode it."""
         lower = text.replace("Σ", "σ").lower()
         if TRUSTED.search(text) or any(s in lower for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype)
+            return None
         apart = NOT_LETTERS.sub(r" \g<0> ", lower) if "'" in lower else DIGIT.sub(r" \g<0> ", MARKS.sub(r" \g<0> ", lower))
-        words = apart.split()
-        return self.fast.encode_to_numpy(" ".join(words) + " ", disallowed_special=()).astype(self.dtype) if words else np.zeros(0, self.dtype)
+        return apart.split()
 
-    def encode(self, texts: list[str], end_id: int):
-        """The ids of each text, as arrays; copies next to each other in a batch are encoded once."""
-        end, met = np.array([end_id], self.dtype), {}
+    def _ids_of_all(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.words) > self.KNOWN or self.words.chars > self.KNOWN_CHARS:
+            self._forget()
+        number, places = self.words.__getitem__, []
         for text in texts:
-            if text not in met:
-                met[text] = np.append(self.ids_of(text), end)
-            yield met[text]
+            words = self._words_of(text)
+            places.append(None if words is None else np.fromiter(map(number, words), np.int32, len(words)))
+        self._learn()
+        out = []
+        for text, at in zip(texts, places):
+            if at is None:
+                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype))
+                continue
+            start = self.ends[at]
+            n = self.ends[at + 1] - start
+            before = np.cumsum(n) - n
+            out.append(self.flat[np.repeat(start - before, n) + np.arange(n.sum())])
+        return out
+
+    def ids_of(self, text: str) -> np.ndarray:
+        return self._ids_of_all([text])[0]
+
+    def encode(self, texts: list[str], end_id: int):
+        """The ids of each text, as arrays; copies near each other in a batch are encoded once."""
+        end = np.array([end_id], self.dtype)
+        for a, b in in_pieces(texts, self.PIECE):
+            some = list(dict.fromkeys(texts[a:b]))
+            met = dict(zip(some, self._ids_of_all(some)))
+            for text in texts[a:b]:
+                yield np.append(met[text], end)
 
 
 @functools.lru_cache(maxsize=2)
