@@ -1,4 +1,4 @@
-"""Column functions: keys, text, scores. All are built-in expressions but nfkc_casefold."""
+"""Column functions: keys, text, scores. All are built-in expressions but nfkc_casefold and nfkc_casefold_all."""
 
 from __future__ import annotations
 
@@ -22,6 +22,15 @@ def nfkc_casefold(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).strip().casefold())
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def nfkc_casefold_all(texts: pd.Series) -> pd.Series:
+    """The same of every text of an array."""
+    import unicodedata
+
+    fold = lambda t: None if t is None else unicodedata.normalize("NFKC", t).strip().casefold()
+    return texts.map(lambda ts: None if ts is None else [fold(t) for t in ts])
+
+
 def clamp(x: Column, low: float = 0.0, high: float = 1.0) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), x))
 

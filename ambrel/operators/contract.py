@@ -3,7 +3,8 @@
 Issues are (entity_kind, entity_id, rule). Rules of one document are one narrow projection; rules between documents
 (duplicates, references, both sides of an edge) are joins and grouped counts. A document without id, or a later copy of
 an id, gives that issue alone. Documents are typed by CHARACTER and WORK; a value of another JSON type is read as null,
-which the rules then report where null is not allowed. Input order is the column ``position``.
+which the rules then report where null is not allowed. Input order is the column ``position``. Ids are stripped first. Of an
+introduction the first fault counts: missing, short, a forbidden phrase; its white space at the ends has no length.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.scalar import nfkc_casefold_all
+
 CHARACTER = """id string, characterType int, realSubType int, creativeEntityType int, gender int, countryCode string, field int,
 dynasty int, beginCentury int, endCentury int, names array<struct<language:int,name:string>>, introduction string,
 ownWork array<struct<workId:string,relationType:int>>, position long"""
@@ -21,7 +24,10 @@ creators array<struct<characterId:string,relationType:int,sortOrder:int>>, posit
 
 #: Fixed values of the contract.
 GENRES = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 14)
-SUBCATEGORIES = {1: 15, 2: 15, 3: 14, 4: 17, 5: 16, 6: 15, 7: 14, 8: 8, 9: 11, 10: 12, 11: 6, 12: 10, 14: 8}
+SUBCATEGORIES = {
+    1: (1001, 1015), 2: (2001, 2015), 3: (3001, 3014), 4: (4001, 4017), 5: (5001, 5016), 6: (6001, 6015), 7: (7001, 7014),
+    8: (8001, 8008), 9: (9001, 9011), 10: (10001, 10012), 11: (11001, 11006), 12: (12001, 12010), 14: (14001, 14008),
+}
 ENTITY_TYPES = (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 99)
 RELATIONS = (*range(1, 36), 99)
 RELATION_GENRES = {
@@ -36,8 +42,18 @@ COUNTRY = r"\A[A-Z]{3}\z"
 CHINA = "CHN"
 
 
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def _blank(c: Column) -> Column:
-    return F.coalesce(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit("")) == ""
+    return F.coalesce(_stripped(c), F.lit("")) == ""
+
+
+def _introduction(least: int, forbidden: str | None) -> dict[str, Column]:
+    text = F.coalesce(_stripped(F.col("introduction")), F.lit(""))
+    rules = {"introduction_missing": text == "", "introduction_short": F.length(text).between(1, least - 1)}
+    return rules | ({"introduction_phrase": (F.length(text) >= least) & F.col("introduction").rlike(forbidden)} if forbidden else {})
 
 
 def _in(c: Column, values) -> Column:
@@ -48,8 +64,21 @@ def _between(c: Column, low: int, high: int) -> Column:
     return F.coalesce(c.between(low, high), F.lit(False))
 
 
+def fits_genre(tag: Column, genre: Column) -> Column:
+    """Whether a subcategory is one of its genre's."""
+    span = F.try_element_at(F.create_map(*[x for g, (a, b) in SUBCATEGORIES.items() for x in (F.lit(g), F.struct(F.lit(a), F.lit(b)))]), genre)
+    return F.coalesce(tag.between(span["col1"], span["col2"]), F.lit(False))
+
+
+def suits_genre(relation: Column, genre: Column) -> Column:
+    """Whether a relation may stand between a creator and a work of the genre."""
+    genres = F.create_map(*[x for r, gs in RELATION_GENRES.items() for x in (F.lit(r), F.array(*map(F.lit, gs)))])
+    return relation.isin(1, 99) | F.coalesce(F.array_contains(F.try_element_at(genres, relation), genre), F.lit(False))
+
+
 def _issues(df: DataFrame, kind: str, key: str, rules: dict[str, Column]) -> DataFrame:
     """One pass over the documents: what broke, exploded."""
+    df = df.withColumn(key, _stripped(F.col(key)))
     numbered = df.withColumn("__n", F.when(~_blank(F.col(key)), F.row_number().over(W.partitionBy(key).orderBy("position"))))
     first = F.when(F.col("__n").isNull(), F.array(F.lit("missing_id"))).when(F.col("__n") > 1, F.array(F.lit("duplicate_id")))
     broken = F.array_compact(F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in rules.items()]))
@@ -58,17 +87,20 @@ def _issues(df: DataFrame, kind: str, key: str, rules: dict[str, Column]) -> Dat
 
 def _valid(df: DataFrame, key: str) -> DataFrame:
     """Documents with an id, of each id the first."""
-    n = F.row_number().over(W.partitionBy(key).orderBy("position"))
+    n, df = F.row_number().over(W.partitionBy(key).orderBy("position")), df.withColumn(key, _stripped(F.col(key)))
     return df.where(~_blank(F.col(key))).withColumn("__n", n).where("__n = 1").drop("__n")
 
 
 def character_issues(characters: DataFrame, forbidden: str | None = None) -> DataFrame:
     c, china = F.col, F.col("realSubType") == 2
     names = F.coalesce("names", F.array().cast("array<struct<language:int,name:string>>"))
-    clean = F.transform(names, lambda n: F.struct(n["language"].alias("l"), F.lower(F.trim(n["name"])).alias("n")))
-    standard = F.filter(F.transform(names, lambda n: n["language"]), lambda x: x.isin(0, 1, 2))
+    valid = F.filter(names, lambda n: _between(n["language"], 0, 3) & ~_blank(n["name"]))
+    characters = characters.withColumn("__valid", valid).withColumn("__folded", nfkc_casefold_all(F.transform("__valid", lambda n: n["name"])))
+    clean = F.zip_with("__valid", "__folded", lambda n, folded: F.struct(n["language"], folded))
+    standard = F.filter(F.transform("__valid", lambda n: n["language"]), lambda x: x.isin(0, 1, 2))
     year = lambda y: y.isNotNull() & ((y == 0) | ~y.between(-5000, 2100))
-    token = F.get(F.split("id", "_"), -2 + F.size(F.split("id", "_")))
+    parts = F.split("id", "_")
+    token = F.when(c("id").rlike(CHARACTER_ID), F.get(parts, F.size(parts) - 2))
     rules = {
         "id_pattern": ~c("id").rlike(CHARACTER_ID),
         "character_type": ~_in(c("characterType"), [1]),
@@ -81,7 +113,7 @@ def character_issues(characters: DataFrame, forbidden: str | None = None) -> Dat
         "country_code": c("countryCode").isNotNull() & ~c("countryCode").rlike(COUNTRY),
         "china_country": china & ~c("countryCode").eqNullSafe(CHINA),
         "china_dynasty": china & c("dynasty").isNull(),
-        "world_dynasty": ~china & c("dynasty").isNotNull(),
+        "world_dynasty": (c("realSubType") == 1) & c("dynasty").isNotNull(),
         "begin_year": year(c("beginCentury")),
         "end_year": year(c("endCentury")),
         "year_order": c("endCentury") < c("beginCentury"),
@@ -91,31 +123,25 @@ def character_issues(characters: DataFrame, forbidden: str | None = None) -> Dat
         "name_blank": F.exists(names, lambda n: _blank(n["name"])),
         "name_duplicate": F.size(F.array_distinct(clean)) < F.size(clean),
         "name_standard_twice": F.size(F.array_distinct(standard)) < F.size(standard),
-        "introduction_short": F.length(F.coalesce("introduction", F.lit(""))) < 60,
         "own_work_missing": c("ownWork").isNull(),
         "own_work_duplicate": F.size(F.array_distinct("ownWork")) < F.size("ownWork"),
         "own_work_item": F.exists("ownWork", lambda w: _blank(w["workId"]) | ~_in(w["relationType"], RELATIONS)),
     }
-    if forbidden:
-        rules["introduction_phrase"] = c("introduction").rlike(forbidden)
-    return _issues(characters, "character", "id", rules)
+    return _issues(characters, "character", "id", rules | _introduction(60, forbidden))
 
 
 def work_issues(works: DataFrame, forbidden: str | None = None) -> DataFrame:
     c = F.col
     tags = F.coalesce("subcategories", F.when(c("subcategory").isNotNull(), F.array("subcategory")), F.array().cast("array<int>"))
-    last = F.create_map(*[x for g, n in SUBCATEGORIES.items() for x in (F.lit(g), F.lit(n))])
-    fits = lambda t: F.coalesce(t.between(c("genre") * 1000 + 1, c("genre") * 1000 + F.try_element_at(last, c("genre"))), F.lit(False))
+    fits = lambda t: fits_genre(t, c("genre"))
     creators = F.coalesce("creators", F.array().cast("array<struct<characterId:string,relationType:int,sortOrder:int>>"))
     orders = F.array_sort(F.transform(creators, lambda r: F.coalesce(r["sortOrder"], F.lit(0))))
-    genres = F.create_map(*[x for r, gs in RELATION_GENRES.items() for x in (F.lit(r), F.array(*map(F.lit, gs)))])
-    allowed = lambda r: r.isin(1, 99) | F.coalesce(F.array_contains(F.try_element_at(genres, r), c("genre")), F.lit(False))
+    allowed = lambda r: suits_genre(r, c("genre"))
     pairs = F.transform(creators, lambda r: F.struct(r["characterId"], r["relationType"]))
     rules = {
         "id_pattern": ~c("workId").rlike(WORK_ID),
         "work_name": _blank(c("workName")),
         "original_name": c("originalName").isNotNull() & _blank(c("originalName")),
-        "introduction_short": F.length(F.coalesce("introduction", F.lit(""))) < 40,
         "genre": ~_in(c("genre"), GENRES),
         "subcategory": c("subcategory").isNotNull() & ~fits(c("subcategory")),
         "tag": F.exists(tags, lambda t: ~fits(t)),
@@ -130,9 +156,7 @@ def work_issues(works: DataFrame, forbidden: str | None = None) -> DataFrame:
         "creator_duplicate": F.size(F.array_distinct(pairs)) < F.size(pairs),
         "primary_author": c("primaryAuthorId").isNotNull() & ~F.exists(creators, lambda r: (r["characterId"] == c("primaryAuthorId")) & (r["relationType"] == 1)),
     }
-    if forbidden:
-        rules["introduction_phrase"] = c("introduction").rlike(forbidden)
-    return _issues(works, "work", "workId", rules)
+    return _issues(works, "work", "workId", rules | _introduction(40, forbidden))
 
 
 def edge_issues(characters: DataFrame, works: DataFrame) -> DataFrame:
@@ -148,3 +172,9 @@ def edge_issues(characters: DataFrame, works: DataFrame) -> DataFrame:
 
 def issues(characters: DataFrame, works: DataFrame, forbidden: str | None = None) -> DataFrame:
     return character_issues(characters, forbidden).unionByName(work_issues(works, forbidden)).unionByName(edge_issues(characters, works))
+
+
+def warnings(characters: DataFrame, works: DataFrame) -> DataFrame:
+    """(entity_kind, entity_id, rule) of introductions that pass but are thin; they stop nothing."""
+    thin = lambda df, kind, key, low: df.select(F.lit(kind).alias("entity_kind"), F.col(key).alias("entity_id"), F.lit("introduction_thin").alias("rule"), F.length(F.coalesce(_stripped(F.col("introduction")), F.lit(""))).alias("n")).where(F.col("n") < low).drop("n")
+    return thin(_valid(characters, "id"), "character", "id", 100).unionByName(thin(_valid(works, "workId"), "work", "workId", 80))
