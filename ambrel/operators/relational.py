@@ -92,3 +92,15 @@ def transitive_closure(edges: DataFrame, source: str, target: str, keep) -> Data
         longer = reached.alias("a").join(step.alias("b"), F.col("a.t") == F.col("b.s")).select("a.s", "b.t")
         reached = keep(reached.union(longer).distinct())
     return reached
+
+
+def remapped(df: DataFrame, mapping: DataFrame, key: str, name: str, strict: bool = False) -> DataFrame:
+    """``df`` with ``name``, the key's new value by ``mapping`` (old, new), and state 'resolved' or 'pending'.
+
+    A key that the mapping lacks keeps its value and is pending; ``strict`` makes it an error when the rows are computed.
+    """
+    known = mapping.select(F.col("old").alias("__old"), F.col("new").alias("__new"), F.lit(True).alias("__known"))
+    out = df.join(known, F.col(key) == F.col("__old"), "left")
+    found = F.coalesce("__known", F.lit(False))
+    lost = F.raise_error(F.concat(F.lit(f"no new {key} for "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("string") if strict else F.lit("pending")
+    return out.select(*df.columns, F.when(found, F.col("__new")).otherwise(F.col(key)).alias(name), F.when(found, F.lit("resolved")).otherwise(lost).alias("state"))

@@ -2,7 +2,7 @@
 
 import pytest
 
-from ambrel.plans import catalogue
+from ambrel.plans import catalogue, entities  # noqa: F401  (entities adds its queries to the catalogue)
 from tests.oracle import DATA, differences
 
 
@@ -36,3 +36,13 @@ def test_scaffold_grid_of_many_segments(spark, tmp_path):
     spark.createDataFrame([(0, "here"), (1, "there")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
     rows = catalogue.QUERIES["scaffold_grid"](spark, str(tmp_path)).collect()
     assert {tuple(r) for r in rows} == {(n, f"s{i}", int(n == "here")) for n in ("here", "there") for i in range(1200)}
+
+
+def test_remapped_keys(spark):
+    from ambrel.operators.relational import remapped
+
+    rows, mapping = spark.createDataFrame([(1,), (2,), (None,)], "k long"), spark.createDataFrame([(1, 10)], "old long, new long")
+    assert {tuple(r) for r in remapped(rows, mapping, "k", "n").collect()} == {(1, 10, "resolved"), (2, 2, "pending"), (None, None, "pending")}
+    with pytest.raises(Exception, match="no new k for"):
+        remapped(rows, mapping, "k", "n", strict=True).collect()
+    assert remapped(rows.limit(0), mapping, "k", "n", strict=True).count() == 0
