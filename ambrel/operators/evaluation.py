@@ -15,17 +15,18 @@ def calibrated(df: DataFrame, value: str, floor: float = 0.025, stretch: float =
     return df.withColumn("score", F.round(0.1 + 0.8 / (1 + F.exp(-z)), 4))
 
 
-def group_auc(df: DataFrame, by: str, score: str, positive: Column) -> DataFrame:
+def group_auc(df: DataFrame, by: str | list[str], score: str, positive: Column) -> DataFrame:
     """Pairs, wins (ties half) and AUC within groups, from running counts: no pair of rows is ever made.
 
     Rows are first summed by score, so a group is as large as its distinct scores.
     """
-    sums = df.groupBy(by, score).agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
-    below = F.sum("neg").over(W.partitionBy(by).orderBy(score).rowsBetween(W.unboundedPreceding, W.currentRow))
+    by = [by] if isinstance(by, str) else by
+    sums = df.groupBy(*by, score).agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
+    below = F.sum("neg").over(W.partitionBy(*by).orderBy(score).rowsBetween(W.unboundedPreceding, W.currentRow))
     wins = F.sum(F.col("pos") * (F.col("below") - F.col("neg") / 2))
-    out = sums.withColumn("below", below).groupBy(by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), wins.alias("wins"))
+    out = sums.withColumn("below", below).groupBy(*by).agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"), wins.alias("wins"))
     pairs = F.col("positives") * F.col("negatives")
-    return out.where(pairs > 0).select(by, pairs.alias("pairs"), F.col("wins").cast("double").alias("wins"), F.round(F.col("wins") / pairs, 6).alias("auc"))
+    return out.where(pairs > 0).select(*by, pairs.alias("pairs"), F.col("wins").cast("double").alias("wins"), F.round(F.col("wins") / pairs, 6).alias("auc"))
 
 
 def long_variants(df: DataFrame, keys: list[str], variants: dict[str, Column]) -> DataFrame:

@@ -139,9 +139,11 @@ def edge_reconcile(spark, d):
 SELECT s_suppkey, count(*) AS n, min(c_custkey) AS first_customer FROM supplier JOIN customer
 ON nullif(c_nationkey, 0) IS NOT DISTINCT FROM nullif(s_nationkey, 0) AND round(c_acctbal / 1000) = round(s_acctbal / 1000) GROUP BY 1""")
 def null_safe_match(spark, d):
-    c, s = table(spark, d, "customer"), table(spark, d, "supplier")
-    on = F.expr("nullif(c_nationkey, 0) <=> nullif(s_nationkey, 0) and round(c_acctbal / 1000) = round(s_acctbal / 1000)")
-    return s.join(c, on).groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("first_customer"))
+    """Both sides are counted by key before they meet, so no pair of rows is made; a null key is a key."""
+    side = lambda t, p: table(spark, d, t).withColumns({f"{p}_n": F.expr(f"nullif({p}_nationkey, 0)"), f"{p}_b": F.expr(f"round({p}_acctbal / 1000)")})
+    customers = side("customer", "c").groupBy("c_n", "c_b").agg(F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("first_customer"))
+    matched = side("supplier", "s").join(customers, F.expr("c_n <=> s_n and c_b = s_b"))
+    return matched.groupBy("s_suppkey").agg(F.sum("n").alias("n"), F.min("first_customer").alias("first_customer"))
 
 
 @query("""
@@ -279,10 +281,11 @@ def scd2_versions(spark, d):
 SELECT user_id, t.event_type, round(avg(value), 6) AS score, CASE WHEN count(value) = 0 THEN 4 ELSE 1 END AS state
 FROM (SELECT DISTINCT user_id FROM events) CROSS JOIN (SELECT DISTINCT event_type FROM events) t LEFT JOIN events e USING (user_id, event_type) GROUP BY ALL""")
 def sparse_catalog(spark, d):
-    """The catalogue is exploded beside each user: a bounded list, no cross join."""
-    means = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.round(F.avg("value"), 6).alias("score"))
-    users = means.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "score"))).alias("m"))
-    kinds = F.array(*map(F.lit, TRAITS))
+    """The catalogue, one list of the types there are, is exploded beside each user. A null type is none."""
+    events = table(spark, d, "events")
+    means = events.groupBy("user_id", "event_type").agg(F.round(F.avg("value"), 6).alias("score"))
+    users = means.groupBy("user_id").agg(F.map_from_entries(F.filter(F.collect_list(F.struct("event_type", "score")), lambda e: e["event_type"].isNotNull())).alias("m"))
+    kinds = events.agg(F.sort_array(F.collect_set("event_type"))).scalar()
     return users.select("user_id", "m", F.explode(kinds).alias("event_type")).select("user_id", "event_type", F.try_element_at("m", "event_type").alias("score")).withColumn("state", F.when(F.col("score").isNull(), 4).otherwise(1))
 
 
@@ -506,23 +509,44 @@ def stream_distinct_events(spark, d):
     home = f"{shared_home(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema
     stream = V.files(spark, f"{d}/events*.parquet", schema)
-    V.append_available(V.distinct(stream, ["event_id", "event_type"], "ts", "36500 days").select("event_id", "event_type"), f"{home}/out", f"{home}/checkpoint")
+    V.append_available(V.distinct(stream, ["event_id", "event_type"], "ts", "7 days").select("event_id", "event_type"), f"{home}/out", f"{home}/checkpoint")
     return spark.read.schema("event_id long, event_type string").parquet(f"{home}/out")
 
 
-@query()
+_AT_BEST = lambda f, by: f"SELECT {by}, avg(value) AS mean, [" + ", ".join(f"coalesce({f}(value) FILTER (event_type = '{t}') / any_value(m), 0.5)" for t in TRAITS) + f"] AS v FROM e, top GROUP BY {by}"
+
+
+@query(f"""
+WITH e AS (SELECT *, (props->>'$.k')::BIGINT AS object, CASE WHEN event_type IN ('purchase', 'click') THEN 1 WHEN event_type = 'error' THEN -1 END AS rating FROM events),
+top AS (SELECT coalesce(nullif(max(value), 0), 1) AS m FROM events),
+rated AS (SELECT user_id, object, rating FROM e WHERE rating IS NOT NULL AND object IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id, object ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1),
+users AS ({_AT_BEST("avg", "user_id")}), objects AS ({_AT_BEST("max", "object")}),
+s AS (SELECT user_id, rating, greatest(0, least(1, 1 - list_sum(list_transform(range(1, {len(TRAITS) + 1}), lambda i: abs(u.v[i] - o.v[i]))) / {len(TRAITS)})) AS likeness, greatest(0, least(1, o.mean / m)) AS popular
+  FROM rated JOIN users u USING (user_id) JOIN objects o USING (object), top),
+long AS (SELECT 'base' AS variant, user_id, rating, round(popular, 9) AS score FROM s UNION ALL SELECT 'similar', user_id, rating, round(likeness, 9) FROM s UNION ALL SELECT 'blend', user_id, rating, round(0.7::DOUBLE * likeness + 0.3::DOUBLE * popular, 9) FROM s),
+n AS (SELECT variant, user_id, score, count(*) FILTER (rating > 0) AS pos, count(*) FILTER (rating <= 0) AS neg FROM long GROUP BY ALL),
+b AS (SELECT *, sum(neg) OVER (PARTITION BY variant, user_id ORDER BY score) - neg / 2 AS below FROM n),
+g AS (SELECT variant, user_id, sum(pos) * sum(neg) AS pairs, sum(pos * below) AS wins FROM b GROUP BY ALL HAVING sum(pos) * sum(neg) > 0)
+SELECT variant, sum(pairs)::BIGINT AS pairs, sum(wins)::DOUBLE AS wins, round(sum(wins) / sum(pairs), 6) AS auc FROM g GROUP BY variant""")
 def recommendation_prior(spark, d):
-    """The flagship: latest ratings, user and object vectors, similarity, ablations and within-user AUC."""
-    events = table(spark, d, "events").withColumn("object", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint"))
+    """The flagship: latest ratings, user and object vectors, similarity, ablations and within-user AUC.
+
+    The greatest value is a scalar subquery: no action runs while the plan is made. Objects are read from the properties
+    once for each use, in the scan; ratings and both vectors meet by equality joins.
+    """
+    raw = table(spark, d, "events")
+    events = raw.withColumn("object", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint"))
     rating = F.when(F.col("event_type").isin("purchase", "click"), 1).when(F.col("event_type") == "error", -1)
-    rated = R.latest(events.withColumn("rating", rating).where("rating is not null and object is not null"), ["user_id", "object"], [F.desc_nulls_last("ts"), F.desc_nulls_last("event_id")]).select("user_id", "object", "rating")
-    top = events.agg(F.max("value").alias("m")).first()["m"] or 1.0
-    vector = lambda f: F.array(*[F.coalesce(f(F.when(F.col("event_type") == t, F.col("value"))) / top, F.lit(0.5)) for t in TRAITS])
-    users = events.groupBy("user_id").agg(vector(F.avg).alias("u"))
-    objects = events.groupBy("object").agg(vector(F.max).alias("o"), F.avg("value").alias("mean"))
-    rows = rated.join(users, "user_id").join(objects, "object")
-    similar, popular = S.l1_similarity(F.col("u"), F.col("o")), S.clamp(F.col("mean") / top)
-    long = E.long_variants(rows, ["user_id", "rating"], {"base": popular, "similar": similar, "blend": 0.7 * similar + 0.3 * popular})
-    scored = long.select(F.concat_ws("|", "variant", F.col("user_id").cast("string")).alias("g"), F.round("score", 9).alias("score"), "rating")
-    auc = E.group_auc(scored, "g", "score", F.col("rating") > 0).withColumn("variant", F.split_part("g", F.lit("|"), F.lit(1)))
+    last = F.max_by(F.col("rating"), F.struct(F.col("ts"), F.col("event_id")))
+    rated = events.withColumn("rating", rating).where("rating is not null and object is not null").groupBy("user_id", "object").agg(last.alias("rating"))
+    top = F.coalesce(F.nullif(raw.agg(F.max("value")).scalar(), F.lit(0.0)), F.lit(1.0))
+    vector = lambda f: F.array(*[f(F.when(F.col("event_type") == t, F.col("value"))) for t in TRAITS])
+    scaled = lambda c: F.transform(c, lambda x: F.coalesce(x / F.col("top"), F.lit(0.5)))
+    users = raw.groupBy("user_id").agg(vector(F.avg).alias("u"))
+    objects = events.where("object is not null").groupBy("object").agg(vector(F.max).alias("o"), F.avg("value").alias("mean"))
+    rows = rated.join(users, "user_id").join(objects, "object").withColumn("top", top)
+    similar, popular = S.l1_similarity(scaled("u"), scaled("o")), S.clamp(F.col("mean") / F.col("top"))
+    rows = rows.select("user_id", "rating", similar.alias("s"), popular.alias("p"))
+    long = E.long_variants(rows, ["user_id", "rating"], {"base": F.col("p"), "similar": F.col("s"), "blend": 0.7 * F.col("s") + 0.3 * F.col("p")})
+    auc = E.group_auc(long.withColumn("score", F.round("score", 9)), ["variant", "user_id"], "score", F.col("rating") > 0)
     return auc.groupBy("variant").agg(F.sum("pairs").alias("pairs"), F.sum("wins").alias("wins"), F.round(F.sum("wins") / F.sum("pairs"), 6).alias("auc"))

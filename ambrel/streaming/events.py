@@ -1,6 +1,7 @@
 """Structured Streaming over files: distinct events, windowed counts, upserted snapshots. State is bounded by watermarks.
 
-A watermark begins at 1970: rows up to then count as late and are dropped, as are rows without a time.
+A watermark begins at 1970: rows up to then count as late. distinct() takes their time, and a time that is not there, for
+the day after, so it loses none while a key's state lasts; window_counts() drops them.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ def _timed(stream: DataFrame, time: str, late: str) -> DataFrame:
 
 def distinct(stream: DataFrame, keys: list[str], time: str, late: str) -> DataFrame:
     """The first row of each key; a key is forgotten once it is ``late`` behind the newest row. Null keys are a key."""
-    return _timed(stream, time, late).dropDuplicatesWithinWatermark(keys)
+    first = F.lit("1970-01-02").cast("timestamp")
+    known = stream.withColumn("__time", F.greatest(F.coalesce(F.col(time).cast("timestamp"), first), first))
+    return known.withWatermark("__time", late).dropDuplicatesWithinWatermark(keys).drop("__time")
 
 
 def window_counts(stream: DataFrame, time: str, late: str, width: str, by: list[str], value: str) -> DataFrame:

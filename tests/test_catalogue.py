@@ -46,3 +46,13 @@ def test_remapped_keys(spark):
     with pytest.raises(Exception, match="no new k for"):
         remapped(rows, mapping, "k", "n", strict=True).collect()
     assert remapped(rows.limit(0), mapping, "k", "n", strict=True).count() == 0
+
+
+def test_distinct_stream_keeps_rows_without_time_or_before_1970(spark, tmp_path):
+    from ambrel.streaming import events
+
+    rows = [(1, None), (1, None), (2, "1969-05-01"), (3, "2024-01-01"), (3, "2024-01-02"), (None, "2024-01-01")]
+    spark.createDataFrame(rows, "id long, ts string").selectExpr("id", "cast(ts as timestamp) as ts").write.parquet(f"{tmp_path}/in")
+    stream = events.files(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
+    events.append_available(events.distinct(stream, ["id"], "ts", "7 days").select("id"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert sorted(str(r["id"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["1", "2", "3", "None"]
