@@ -52,7 +52,7 @@ _TAGS = re.compile(r"(?is)<(script|style|title)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:--
 #: What an html tag does not count in (to its end, or the page's if it has none), or the tag up to its end.
 _HTML = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|title)\b.*?(?:</\1\s*>|\Z)|(<html\b[^>]*)")
 _LANG = re.compile(r"""(?is)\blang\s*=\s*["']?([a-z]{2,3})\b""")
-_HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
+_HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)(?=[/?#:]|$)", re.I)
 
 
 def declared_language(html: str) -> str | None:
@@ -165,7 +165,7 @@ def identify(pages: DataFrame, labelled: DataFrame) -> DataFrame:
             table[r[name]] += r["sums"]
         likelihood[name] = np.log(table / table.sum(0))
     whole = found.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("post")[i]).alias(f"s{i}") for i in range(many)]).first()
-    overall = np.array([whole[i] or 0.0 for i in range(many)]) + 1.0
+    overall = np.array([whole[f"s{i}"] or 0.0 for i in range(many)]) + 1.0
     overall = np.round(overall / overall.sum(), 9)
     by_host = as_table(_sums(found, "host", "domain", many=many).withColumnRenamed("sums", "h"), "hosts")
     sites = by_host.groupBy("domain").agg(F.count(F.lit(1)).alias("sites"), F.array(*[F.round(F.sum(F.col("h")[i]), 6) for i in range(many)]).alias("d"))
