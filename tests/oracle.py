@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 DATA = os.environ.get("AMBREL_TESTDATA", "/root/testdata")
@@ -20,7 +21,7 @@ def connection(sf_dir: str):
 
 def rows(frame) -> list[tuple]:
     cols = sorted(frame.columns)
-    clean = lambda v: None if v is None or v != v else round(float(v), 6) if isinstance(v, float) else v.item() if hasattr(v, "item") else v
+    clean = lambda v: None if v is None or v is pd.NA or v != v else round(float(v), 6) if isinstance(v, float) else v.item() if hasattr(v, "item") else v
     return sorted((tuple(map(clean, r)) for r in frame[cols].astype(object).itertuples(index=False)), key=repr)
 
 
