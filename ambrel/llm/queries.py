@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, licences, mixing, neardup, packing, quality, secrets, token_counts, token_store, topk
+from . import alignment, language_id, lexical, licences, mixing, neardup, packing, quality, secrets, token_counts, token_store, topk, warc
 
 QUERIES = {
     "op1_quality_rules": quality.query,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_secret_scan": secrets.query,
     "op9_source_mixing": mixing.query,
     "op10_exact_top_k": topk.query,
+    "op11_warc": warc.query,
+    "op12_ranked_lexical_search": lexical.query,
+    "op13_cross_tokenizer_alignment": alignment.query,
 }
 SQL = {
     "op1_quality_rules": quality.SQL,
     "op9_source_mixing": mixing.SQL,
     "op10_exact_top_k": topk.SQL,
+    "op11_warc": warc.SQL,
+    "op12_ranked_lexical_search": lexical.SQL,
 }
