@@ -83,6 +83,11 @@ def ordered_distinct(df: DataFrame, by: str, value: str, position: list[Column])
     return first.select(by, value, (F.row_number().over(W.partitionBy(by).orderBy("__p")) - 1).cast("long").alias("ordinal"))
 
 
+def present(df: DataFrame) -> DataFrame:
+    """Rows not marked deleted; a null mark is none."""
+    return df.where(F.coalesce(F.col("deleted"), F.lit(0)) == 0)
+
+
 def transitive_closure(edges: DataFrame, source: str, target: str, keep) -> DataFrame:
     """All (source, target) pairs with a path; ``keep`` cuts lineage between rounds."""
     step = edges.select(F.col(source).alias("s"), F.col(target).alias("t")).distinct()

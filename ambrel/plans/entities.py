@@ -61,49 +61,63 @@ def entity_contract(spark, d):
 
 
 _STORE = f"""
-WITH name AS (SELECT c_custkey AS id, c_custkey % 6 AS language FROM customer UNION ALL SELECT c_custkey, 0 FROM customer),
-attribute AS (SELECT c_nationkey % 4 AS sub_type, c_nationkey % 13 AS field, nullif(c_nationkey % 24, 5) AS dynasty, c_nationkey % 12 AS entity, CASE WHEN n_nationkey < 12 THEN 'CHN' WHEN n_nationkey <> 6 THEN 'USA' END AS code FROM customer LEFT JOIN nation ON n_nationkey = nullif(c_nationkey, 6)),
-work AS (SELECT p_partkey AS id, p_size % 15 AS genre, (p_size % 15) * 1000 + p_size % 20 AS own FROM part),
-relation AS (SELECT l_partkey AS work_id, l_suppkey AS character_id, l_linenumber * 6 % 40 AS r FROM lineitem),
-tag AS (SELECT id AS work_id, own AS t, 1 AS main FROM work UNION ALL SELECT id, genre * 1000 + 1 + id % 9, (id % 7 = 0)::INT FROM work),
+WITH name AS (SELECT c_custkey AS id, c_custkey % 6 AS language, (c_custkey % 11 = 0)::INT AS deleted FROM customer UNION ALL SELECT c_custkey, 0, 0 FROM customer),
+attribute AS (SELECT c_nationkey % 4 AS sub_type, nullif(c_nationkey % 13, 7) AS field, nullif(c_nationkey % 24, 5) AS dynasty, c_nationkey % 12 AS entity, CASE WHEN n_nationkey < 12 THEN 'CHN' WHEN n_nationkey <> 6 THEN 'USA' END AS code, (c_custkey % 7 = 0)::INT AS deleted FROM customer LEFT JOIN nation ON n_nationkey = nullif(c_nationkey, 6)),
+live AS (SELECT * FROM attribute WHERE deleted = 0),
+work AS (SELECT p_partkey AS id, nullif(p_size % 15, 13) AS genre, nullif((p_size % 15) * 1000 + p_size % 20, 4009) AS own FROM part),
+relation AS (SELECT l_partkey AS work_id, l_suppkey AS character_id, l_linenumber * 6 % 40 AS r FROM lineitem WHERE l_partkey % 5 <> 0),
+tag AS (SELECT id AS work_id, own AS t, 1 AS main FROM work WHERE own IS NOT NULL UNION ALL SELECT id, coalesce(genre, 0) * 1000 + 1 + id % 9, (id % 7 = 0)::INT FROM work),
 spans(g, a, b) AS (VALUES {', '.join(f'({g}, {a}, {b})' for g, (a, b) in C.SUBCATEGORIES.items())}),
 allowed(r, g) AS (VALUES {', '.join(f'({r}, {g})' for r, gs in C.RELATION_GENRES.items() for g in gs)})
 """
 _CHECKS = {
-    "invalidNameLanguage": "name WHERE language NOT BETWEEN 0 AND 3",
-    "duplicateStandardNames": "(SELECT 1 FROM name WHERE language IN (0, 1, 2) GROUP BY id, language HAVING count(*) > 1)",
-    "invalidRealSubtype": "attribute WHERE sub_type NOT IN (1, 2)",
-    "chinaWrongCountry": "attribute WHERE sub_type = 2 AND (code IS NULL OR code <> 'CHN')",
-    "invalidCreativeEntityType": "attribute WHERE entity NOT BETWEEN 1 AND 10",
-    "invalidField": "attribute WHERE CASE WHEN sub_type = 2 THEN field > 10 ELSE field > 8 END",
-    "invalidDynasty": "attribute WHERE dynasty IS NOT NULL AND (dynasty NOT BETWEEN 1 AND 21 OR dynasty = 8)",
-    "chinaMissingDynasty": "attribute WHERE sub_type = 2 AND dynasty IS NULL",
-    "invalidGender": "customer WHERE c_nationkey % 6 > 3",
+    "invalidNameLanguage": "name WHERE language NOT IN (0, 1, 2, 3)",
+    "duplicateStandardNames": "(SELECT 1 FROM name WHERE deleted = 0 AND language IN (0, 1, 2) GROUP BY id, language HAVING count(*) > 1)",
+    "invalidRealSubtype": "live WHERE sub_type NOT IN (1, 2)",
+    "chinaWrongCountry": "live WHERE sub_type = 2 AND (code IS NULL OR code <> 'CHN')",
+    "invalidCreativeEntityType": "live WHERE entity NOT BETWEEN 1 AND 10",
+    "invalidField": "live WHERE (sub_type = 2 AND field NOT BETWEEN 0 AND 10) OR (sub_type = 1 AND field NOT BETWEEN 0 AND 8)",
+    "invalidDynasty": "live WHERE dynasty = 8 OR dynasty NOT BETWEEN 1 AND 21 OR (sub_type = 1 AND dynasty IS NOT NULL)",
+    "chinaMissingDynasty": "live WHERE sub_type = 2 AND dynasty IS NULL",
+    "invalidGender": "customer WHERE c_nationkey % 6 NOT IN (0, 1, 2, 3)",
+    "duplicateRelations": "(SELECT 1 FROM relation GROUP BY work_id, character_id, r HAVING count(*) > 1)",
     "virtualCreators": "relation JOIN customer ON c_custkey = character_id WHERE c_nationkey IN (4, 9)",
-    "invalidRelationGenre": "relation JOIN work w ON w.id = work_id WHERE r NOT IN (1, 99) AND NOT EXISTS (SELECT 1 FROM allowed a WHERE a.r = relation.r AND a.g = w.genre)",
-    "invalidSubcategoryGenre": "relation JOIN work w ON w.id = work_id WHERE NOT EXISTS (SELECT 1 FROM spans WHERE g = w.genre AND own BETWEEN a AND b)",
+    "invalidRelationGenre": "work w JOIN relation ON w.id = work_id WHERE r NOT IN (1, 99) AND NOT EXISTS (SELECT 1 FROM allowed a WHERE a.r = relation.r AND a.g = w.genre)",
+    "invalidSubcategoryGenre": "work w LEFT JOIN relation ON w.id = work_id WHERE own IS NOT NULL AND NOT EXISTS (SELECT 1 FROM spans WHERE g = w.genre AND own BETWEEN a AND b)",
     "invalidTagGenre": "tag JOIN work w ON w.id = work_id WHERE NOT EXISTS (SELECT 1 FROM spans WHERE g = w.genre AND t BETWEEN a AND b)",
-    "invalidPrimaryTag": "tag JOIN work w ON w.id = work_id WHERE main = 1 AND t <> own",
-    "missingOrDuplicatePrimaryTag": "(SELECT 1 FROM tag GROUP BY work_id HAVING sum(main) <> 1)",
+    "invalidPrimaryTag": "tag JOIN work w ON w.id = work_id WHERE main = 1 AND t IS DISTINCT FROM own",
+    "missingOrDuplicatePrimaryTag": "(SELECT 1 FROM work LEFT JOIN tag ON work_id = work.id AND main = 1 WHERE own IS NOT NULL GROUP BY work.id HAVING count(main) <> 1)",
+    "brokenRelations": "relation LEFT JOIN customer ON c_custkey = character_id LEFT JOIN work ON work.id = work_id WHERE c_custkey IS NULL OR work.id IS NULL",
 }
 
 
-@query(_STORE + " UNION ALL ".join(f"SELECT '{c}' AS \"check\", count(*) AS n FROM {w}" for c, w in _CHECKS.items()))
-def store_checks(spark, d):
-    """Customers as characters, parts as works, lines as relations: what a loaded store is asked for at each status."""
+def _store(spark, d):
+    """Customers as characters, parts as works, lines as relations."""
     n, c = F.col("c_nationkey").cast("int"), F.col
     people, parts, lines = table(spark, d, "customer"), table(spark, d, "part"), table(spark, d, "lineitem")
-    character = people.select(c("c_custkey").alias("id"), F.when(n == 4, 2).otherwise(1).alias("character_type"), (n % 6).alias("gender"), F.when(n == 9, 1).otherwise(0).alias("deleted"))
+    mark = lambda m: F.when(c("c_custkey") % m == 0, 1).otherwise(0).alias("deleted")
     key = c("c_custkey").alias("character_info_id")
-    name = people.select(key, (c("c_custkey") % 6).cast("int").alias("language")).union(people.select(key, F.lit(0)))
-    attribute = people.select(key, (n % 4).alias("sub_type"), (n % 13).alias("field"), F.nullif(n % 24, F.lit(5)).alias("dynasty"), (n % 12).alias("creative_entity_type"), F.nullif(n, F.lit(6)).alias("country_id"))
-    country = table(spark, d, "nation").select(c("n_nationkey").cast("int").alias("id"), F.when(c("n_nationkey") < 12, "CHN").otherwise("USA").alias("code"))
-    genre = (c("p_size") % 15).cast("int")
-    work = parts.select(c("p_partkey").alias("id"), genre.alias("genre"), (genre * 1000 + c("p_size") % 20).cast("int").alias("subcategory"))
-    relation = lines.select(c("l_partkey").alias("work_id"), c("l_suppkey").alias("character_id"), (c("l_linenumber") * 6 % 40).cast("int").alias("relation_type"))
-    more = work.select(c("id").alias("work_id"), (c("genre") * 1000 + 1 + c("id") % 9).cast("int").alias("subcategory"), F.when(c("id") % 7 == 0, 1).otherwise(0).alias("is_primary"))
-    tag = work.select(c("id").alias("work_id"), "subcategory", F.lit(1).alias("is_primary")).union(more)
-    return H.strong_checks(character, name, attribute, country, work, relation, tag)
+    genre = F.nullif((c("p_size") % 15).cast("int"), F.lit(13))
+    own = (c("p_size") % 15 * 1000 + c("p_size") % 20).cast("int")
+    work = parts.select(c("p_partkey").alias("id"), genre.alias("genre"), F.nullif(own, F.lit(4009)).alias("subcategory"))
+    more = work.select(c("id").alias("work_id"), (F.coalesce("genre", F.lit(0)) * 1000 + 1 + c("id") % 9).cast("int").alias("subcategory"), F.when(c("id") % 7 == 0, 1).otherwise(0).alias("is_primary"))
+    return {
+        "character": people.select(c("c_custkey").alias("id"), F.when(n == 4, 2).otherwise(1).alias("character_type"), (n % 6).alias("gender"), F.when(n == 9, 1).otherwise(0).alias("deleted")),
+        "name": people.select(key, (c("c_custkey") % 6).cast("int").alias("language"), mark(11)).union(people.select(key, F.lit(0), F.lit(0))),
+        "attribute": people.select(key, (n % 4).alias("sub_type"), F.nullif(n % 13, F.lit(7)).alias("field"), F.nullif(n % 24, F.lit(5)).alias("dynasty"), (n % 12).alias("creative_entity_type"), F.nullif(n, F.lit(6)).alias("country_id"), mark(7)),
+        "country": table(spark, d, "nation").select(c("n_nationkey").cast("int").alias("id"), F.when(c("n_nationkey") < 12, "CHN").otherwise("USA").alias("code")),
+        "work": work,
+        "relation": lines.where("l_partkey % 5 <> 0").select(c("l_partkey").alias("work_id"), c("l_suppkey").alias("character_id"), (c("l_linenumber") * 6 % 40).cast("int").alias("relation_type")),
+        "tag": work.where("subcategory is not null").select(c("id").alias("work_id"), "subcategory", F.lit(1).alias("is_primary")).union(more),
+    }
+
+
+@query(_STORE + " UNION ALL ".join(f"SELECT '{c}' AS \"check\", count(*) AS n FROM {w}" for c, w in _CHECKS.items()))
+def store_checks(spark, d):
+    """What a loaded store is asked for at each status, over all its rows; some works have no relation."""
+    store = _store(spark, d)
+    broken = H.broken_relations(store["character"], store["work"], store["relation"]).select(F.lit("brokenRelations").alias("check"), "n")
+    return H.strong_checks(**store).union(broken)
 
 
 @query("SELECT s_suppkey, CASE WHEN s_nationkey < 20 THEN s_suppkey + 1000000 ELSE s_suppkey END AS new_key, CASE WHEN s_nationkey < 20 THEN 'resolved' ELSE 'pending' END AS state FROM supplier")
