@@ -4,7 +4,8 @@ Issues are (entity_kind, entity_id, rule). Rules of one document are one narrow
 (duplicates, references, both sides of an edge) are joins and grouped counts. A document without id, or a later copy of
 an id, gives that issue alone. Documents are typed by CHARACTER and WORK; a value of another JSON type is read as null,
 which the rules then report where null is not allowed. Input order is the column ``position``. Ids are stripped first. Of an
-introduction the first fault counts: missing, short, a forbidden phrase; its white space at the ends has no length.
+introduction the first fault counts: missing, short, a forbidden phrase (those of the contract, if no others are given); its
+white space at the ends has no length. An item of a character's own works needs an id and a relation, of any value.
 """
 
 from __future__ import annotations
@@ -36,10 +37,18 @@ RELATION_GENRES = {
     24: (4, 5, 8), 25: (7,), 26: (7, 8), 27: (2, 4, 5), 28: (4, 5), 29: (6, 10), 30: (8,), 31: (6, 10), 32: (2, 4, 5, 8),
     33: (1, 2, 4, 5, 8), 34: (7, 8), 35: (4, 5, 8),
 }
+FORBIDDEN = (
+    r"该实体", r"本条目", r"数据库", r"建模", r"用于后续", r"便于.*分析",
+    r"\d+\s*号创作关系", r"relationType", r"JSON", r"Prompt",
+    r"人格(?:判断|标签|结论|类型)",
+    r"(?:可用于|用于|支持).*(?:分析|研究|判断)", r"分析价值",
+    r"不能替代.*判断", r"后续(?:分析|研究|标注)", r"推荐算法",
+)
 CHARACTER_ID = r"\ArealCharacter_[a-z]{3}_(unknown|-?[0-9]{1,4})_[0-9]{3}\z"
 WORK_ID = r"\Awork_[a-z]{3}_(unknown|-?[0-9]{1,4})_[0-9]{3}\z"
 COUNTRY = r"\A[A-Z]{3}\z"
 CHINA = "CHN"
+PHRASES = "|".join(FORBIDDEN)
 
 
 def _stripped(c: Column) -> Column:
@@ -91,7 +100,7 @@ def _valid(df: DataFrame, key: str) -> DataFrame:
     return df.where(~_blank(F.col(key))).withColumn("__n", n).where("__n = 1").drop("__n")
 
 
-def character_issues(characters: DataFrame, forbidden: str | None = None) -> DataFrame:
+def character_issues(characters: DataFrame, forbidden: str | None = PHRASES) -> DataFrame:
     c, china = F.col, F.col("realSubType") == 2
     names = F.coalesce("names", F.array().cast("array<struct<language:int,name:string>>"))
     valid = F.filter(names, lambda n: _between(n["language"], 0, 3) & ~_blank(n["name"]))
@@ -100,6 +109,7 @@ def character_issues(characters: DataFrame, forbidden: str | None = None) -> Dat
     standard = F.filter(F.transform("__valid", lambda n: n["language"]), lambda x: x.isin(0, 1, 2))
     year = lambda y: y.isNotNull() & ((y == 0) | ~y.between(-5000, 2100))
     parts = F.split("id", "_")
+    own = F.filter("ownWork", lambda w: w["workId"].isNotNull() & w["relationType"].isNotNull())
     token = F.when(c("id").rlike(CHARACTER_ID), F.get(parts, F.size(parts) - 2))
     rules = {
         "id_pattern": ~c("id").rlike(CHARACTER_ID),
@@ -124,20 +134,20 @@ def character_issues(characters: DataFrame, forbidden: str | None = None) -> Dat
         "name_duplicate": F.size(F.array_distinct(clean)) < F.size(clean),
         "name_standard_twice": F.size(F.array_distinct(standard)) < F.size(standard),
         "own_work_missing": c("ownWork").isNull(),
-        "own_work_duplicate": F.size(F.array_distinct("ownWork")) < F.size("ownWork"),
-        "own_work_item": F.exists("ownWork", lambda w: _blank(w["workId"]) | ~_in(w["relationType"], RELATIONS)),
+        "own_work_duplicate": F.size(F.array_distinct(own)) < F.size(own),
+        "own_work_item": F.size(own) < F.size("ownWork"),
     }
     return _issues(characters, "character", "id", rules | _introduction(60, forbidden))
 
 
-def work_issues(works: DataFrame, forbidden: str | None = None) -> DataFrame:
+def work_issues(works: DataFrame, forbidden: str | None = PHRASES) -> DataFrame:
     c = F.col
     tags = F.coalesce("subcategories", F.when(c("subcategory").isNotNull(), F.array("subcategory")), F.array().cast("array<int>"))
     fits = lambda t: fits_genre(t, c("genre"))
     creators = F.coalesce("creators", F.array().cast("array<struct<characterId:string,relationType:int,sortOrder:int>>"))
     orders = F.array_sort(F.transform(creators, lambda r: F.coalesce(r["sortOrder"], F.lit(0))))
     allowed = lambda r: suits_genre(r, c("genre"))
-    pairs = F.transform(creators, lambda r: F.struct(r["characterId"], r["relationType"]))
+    pairs = F.transform(creators, lambda r: F.struct(F.coalesce(_stripped(r["characterId"]), F.lit("")), r["relationType"]))
     rules = {
         "id_pattern": ~c("workId").rlike(WORK_ID),
         "work_name": _blank(c("workName")),
@@ -163,14 +173,14 @@ def edge_issues(characters: DataFrame, works: DataFrame) -> DataFrame:
     """Creators that are not there, and edges that only one side knows (of works in the batch)."""
     characters, works = _valid(characters, "id"), _valid(works, "workId")
     by_work = works.select("workId", F.explode("creators").alias("r")).select("workId", F.col("r.characterId").alias("id"), F.col("r.relationType").alias("relationType"))
-    lost = by_work.join(characters.select("id"), "id", "left_anti").select(F.lit("work").alias("entity_kind"), F.col("workId").alias("entity_id"), F.lit("creator_missing").alias("rule"))
+    lost = by_work.withColumn("id", F.coalesce(_stripped(F.col("id")), F.lit(""))).join(characters.select("id"), "id", "left_anti").select(F.lit("work").alias("entity_kind"), F.col("workId").alias("entity_id"), F.lit("creator_missing").alias("rule"))
     by_character = characters.select("id", F.explode("ownWork").alias("w")).select(F.col("w.workId").alias("workId"), "id", F.col("w.relationType").alias("relationType")).join(works.select("workId"), "workId", "left_semi")
     sides = by_work.withColumn("s", F.lit(1)).unionByName(by_character.withColumn("s", F.lit(2))).groupBy("workId", "id", "relationType").agg(F.collect_set("s").alias("s")).where(F.size("s") == 1)
     one = sides.select(F.lit("work").alias("entity_kind"), F.col("workId").alias("entity_id"), F.when(F.array_contains("s", 1), "edge_only_in_work").otherwise("edge_only_in_character").alias("rule"))
     return lost.unionByName(one)
 
 
-def issues(characters: DataFrame, works: DataFrame, forbidden: str | None = None) -> DataFrame:
+def issues(characters: DataFrame, works: DataFrame, forbidden: str | None = PHRASES) -> DataFrame:
     return character_issues(characters, forbidden).unionByName(work_issues(works, forbidden)).unionByName(edge_issues(characters, works))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -17,6 +15,7 @@ from ..operators import relational as R
 from ..operators import runs as G
 from ..operators import scoring as K
 from ..sources import texts as X
+from ..sources.scratch import keeper, new_place
 from ..sources.tables import table
 from ..streaming import events as V
 
@@ -35,28 +34,6 @@ def query(sql: str | None = None):
     return add
 
 
-def shared_home(spark) -> str:
-    """The shared folder; one of its own only under a local master."""
-    home = spark.conf.get("spark.checkpoint.dir", None)
-    if not home:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        home = tempfile.mkdtemp(prefix="ambrel-")
-    return home.rstrip("/")
-
-
-def keeper(spark):
-    """Writes a table in the shared folder and reads it back."""
-    home = shared_home(spark)
-
-    def keep(df: DataFrame) -> DataFrame:
-        path = f"{home}/kept-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return keep
-
-
 @query("SELECT c_custkey, (('0x' || substr(sha256('ambrel:customer:' || c_name), 1, 16))::UBIGINT & 9223372036854775807)::BIGINT AS stable_id FROM customer")
 def stable_key(spark, d):
     return table(spark, d, "customer").select("c_custkey", S.stable_id("customer", F.col("c_name")).alias("stable_id"))
@@ -289,12 +266,14 @@ def sparse_catalog(spark, d):
     return users.select("user_id", "m", F.explode(kinds).alias("event_type")).select("user_id", "event_type", F.try_element_at("m", "event_type").alias("score")).withColumn("state", F.when(F.col("score").isNull(), 4).otherwise(1))
 
 
-@query("SELECT vec_id, i - 1 AS position, v::DOUBLE AS v FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) WHERE (i - 1) % 16 = vec_id % 16")
+@query("SELECT vec_id, i - 1 AS position, (i - 1 + vec_id) % len(embedding) AS asked, embedding[(i - 1 + vec_id) % len(embedding) + 1]::DOUBLE AS v FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings)")
 def positional_join(spark, d):
+    """Every position of a vector asks for the item as many places on as the vector's number, round the end."""
     vectors = table(spark, d, "embeddings")
-    items = vectors.select("vec_id", F.posexplode("embedding").alias("position", "v"))
-    wanted = vectors.select("vec_id", F.explode(F.sequence(F.col("vec_id") % 16, F.size("embedding").cast("long") - 1, F.lit(16))).alias("position"))
-    return items.join(wanted, ["vec_id", "position"]).select("vec_id", F.col("position").cast("long").alias("position"), F.col("v").cast("double").alias("v"))
+    items = vectors.select("vec_id", F.posexplode("embedding").alias("at", "v")).select("vec_id", F.col("at").cast("long").alias("asked"), F.col("v").cast("double").alias("v"))
+    n = F.size("embedding").cast("long")
+    wanted = vectors.select("vec_id", n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("position")).withColumn("asked", (F.col("position") + F.col("vec_id")) % F.col("n"))
+    return wanted.join(items, ["vec_id", "asked"]).select("vec_id", "position", "asked", "v")
 
 
 @query("SELECT event_id, (props->>'$.k')::BIGINT AS k, (props->'$.k') IS NOT NULL AS has_k FROM events")
@@ -490,7 +469,7 @@ def case_groups(spark, d):
 def run_rollback(spark, d):
     """A run of changes is loaded and rolled back: the table is as before, and what the run had added is missing."""
     old, new = _change(spark, d)
-    store = G.Store(spark, f"{shared_home(spark)}/runs-{uuid.uuid4().hex}")
+    store = G.Store(spark, new_place(spark, "runs"))
     store.write("orders", old)
     run = store.load("orders", {"orders": ("o_orderkey", old.columns, new)})["run"]
     loaded = store.status(run).select(F.col("missing").alias("missing_before"))
@@ -506,10 +485,10 @@ def run_rollback(spark, d):
 @query("SELECT DISTINCT event_id, event_type FROM events")
 def stream_distinct_events(spark, d):
     """The events as a stream, each once, appended to files and read back."""
-    home = f"{shared_home(spark)}/stream-{uuid.uuid4().hex}"
+    home = new_place(spark, "stream")
     schema = table(spark, d, "events").schema
     stream = V.files(spark, f"{d}/events*.parquet", schema)
-    V.append_available(V.distinct(stream, ["event_id", "event_type"], "ts", "7 days").select("event_id", "event_type"), f"{home}/out", f"{home}/checkpoint")
+    V.append_available(V.distinct(stream.select("event_id", "event_type"), ["event_id", "event_type"]), f"{home}/out", f"{home}/checkpoint")
     return spark.read.schema("event_id long, event_type string").parquet(f"{home}/out")
 
 

@@ -1,7 +1,8 @@
-"""Structured Streaming over files: distinct events, windowed counts, upserted snapshots. State is bounded by watermarks.
+"""Structured Streaming over files: distinct events, windowed counts, upserted snapshots.
 
-A watermark begins at 1970: rows up to then count as late. distinct() takes their time, and a time that is not there, for
-the day after, so it loses none while a key's state lasts; window_counts() drops them.
+distinct() is over all time: its state, a key each in the checkpoint, grows with the distinct keys and loses no row,
+however late or without time. distinct_within() and window_counts() bound their state by a watermark and drop what comes
+later; a watermark begins at 1970, so rows up to then, and rows without time, count as late from the second batch on.
 """
 
 from __future__ import annotations
@@ -20,11 +21,14 @@ def _timed(stream: DataFrame, time: str, late: str) -> DataFrame:
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)  # times without zone are the session's
 
 
-def distinct(stream: DataFrame, keys: list[str], time: str, late: str) -> DataFrame:
-    """The first row of each key; a key is forgotten once it is ``late`` behind the newest row. Null keys are a key."""
-    first = F.lit("1970-01-02").cast("timestamp")
-    known = stream.withColumn("__time", F.greatest(F.coalesce(F.col(time).cast("timestamp"), first), first))
-    return known.withWatermark("__time", late).dropDuplicatesWithinWatermark(keys).drop("__time")
+def distinct(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """The first row of each key there ever was, over all batches and restarts. Null keys are a key."""
+    return stream.dropDuplicates(keys)
+
+
+def distinct_within(stream: DataFrame, keys: list[str], time: str, late: str) -> DataFrame:
+    """The first row of each key; a key is forgotten, and a row dropped, once it is ``late`` behind the newest row."""
+    return _timed(stream, time, late).dropDuplicatesWithinWatermark(keys)
 
 
 def window_counts(stream: DataFrame, time: str, late: str, width: str, by: list[str], value: str) -> DataFrame:

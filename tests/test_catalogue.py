@@ -2,7 +2,7 @@
 
 import pytest
 
-from ambrel.plans import catalogue, entities  # noqa: F401  (entities adds its queries to the catalogue)
+from ambrel.plans import catalogue, entities, imports  # noqa: F401  (the others add their queries to the catalogue)
 from tests.oracle import DATA, differences
 
 
@@ -48,11 +48,12 @@ def test_remapped_keys(spark):
     assert remapped(rows.limit(0), mapping, "k", "n", strict=True).count() == 0
 
 
-def test_distinct_stream_keeps_rows_without_time_or_before_1970(spark, tmp_path):
+def test_distinct_stream_loses_no_row_of_any_batch(spark, tmp_path):
     from ambrel.streaming import events
 
-    rows = [(1, None), (1, None), (2, "1969-05-01"), (3, "2024-01-01"), (3, "2024-01-02"), (None, "2024-01-01")]
-    spark.createDataFrame(rows, "id long, ts string").selectExpr("id", "cast(ts as timestamp) as ts").write.parquet(f"{tmp_path}/in")
-    stream = events.files(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
-    events.append_available(events.distinct(stream, ["id"], "ts", "7 days").select("id"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-    assert sorted(str(r["id"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["1", "2", "3", "None"]
+    batches = [[(1, "2024-03-01"), (1, None), (9, None)], [(2, None), (3, "2024-01-01"), (4, "2024-03-02"), (1, "2024-03-05")], [(5, "1969-05-01"), (None, None), (3, "2030-01-01"), (None, "2024-01-01"), (9, None)]]
+    for rows in batches:
+        spark.createDataFrame(rows, "id long, ts string").selectExpr("id", "cast(ts as timestamp) as ts").write.mode("append").parquet(f"{tmp_path}/in")
+        stream = events.files(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, per_batch=1)
+        events.append_available(events.distinct(stream.select("id"), ["id"]), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert sorted(str(r["id"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["1", "2", "3", "4", "5", "9", "None"]

@@ -13,7 +13,7 @@ PEOPLE = {
     "characterType": {"character_type": [None, 2]}, "realSubType": {"real_sub_type": [None, 3]}, "creativeEntityType": {"entity_type": [0, 11]},
     "gender": {"gender": [None, 4, -1]}, "field": {"field": [9, None]}, "dynasty": {"dynasty world_dynasty": [8, 22], "world_dynasty": [3]},
     "countryCode": {"country_code": ["nld", "NLDX"]}, "beginCentury": {"begin_year id_year": [0], "begin_year id_year year_order": [2101], "id_year": [None, 1852], "year_order id_year": [1891]},
-    "endCentury": {"year_order": [1852], "end_year": [2200], "end_year year_order": [-6000]}, "ownWork": {"own_work_missing": [None], "own_work_item": [[{"workId": " ", "relationType": 1}]]},
+    "endCentury": {"year_order": [1852], "end_year": [2200], "end_year year_order": [-6000]}, "ownWork": {"own_work_missing": [None], "own_work_item": [[{"workId": None, "relationType": 1}], [{"workId": "w"}]], "": [[{"workId": " ", "relationType": 1}, {"workId": "w", "relationType": 77}]], "own_work_duplicate": [[{"workId": "w", "relationType": 1}] * 2]},
     "introduction": {"introduction_missing": [None, " \u3000"], "introduction_short": ["p" * 59 + " " * 30, "lorem"], "introduction_phrase": ["lorem " + "p" * 60]},
     "names": {"names_empty": [None, []], "name_language": [[{"language": 4, "name": "x"}, {"language": 4, "name": "x"}]], "name_blank": [[{"language": 0, "name": "\u3000"}, {"language": 0, "name": "y"}]],
               "name_duplicate": [[{"language": 3, "name": "Stra\u00dfe"}, {"language": 3, "name": " \uff33TRASSE"}]], "name_standard_twice": [[{"language": 2, "name": "x"}, {"language": 2, "name": "y"}]]},
@@ -68,3 +68,17 @@ def test_organisations_have_no_gender(spark):
 
 def test_empty_tables(spark):
     assert contract.issues(documents(spark, [], contract.CHARACTER), documents(spark, [], contract.WORK)).count() == 0
+
+
+def test_phrases_of_the_contract(spark):
+    texts = ["p" * 60 + x for x in ("", "见数据库", "便于后来分析", "第 3 号创作关系", "JSON", "支持历史研究", "人格", "人格标签")]
+    docs = [PAINTER | {"id": f"realCharacter_nld_1853_{i:03d}", "introduction": t} for i, t in enumerate(texts)]
+    found = {r["entity_id"][-1] for r in contract.character_issues(documents(spark, docs, contract.CHARACTER)).collect() if r["rule"] == "introduction_phrase"}
+    assert found == {"1", "2", "3", "4", "5", "7"} and len(contract.FORBIDDEN) == 16
+
+
+def test_creators_ids_are_stripped(spark):
+    author = PAINTER | {"id": "realCharacter_fra_1802_300", "beginCentury": 1802}
+    work = NOVEL | {"creators": [{"characterId": " realCharacter_fra_1802_300 ", "relationType": 1}, {"characterId": "realCharacter_fra_1802_300", "relationType": 1, "sortOrder": 1}]}
+    found = {r["rule"] for r in contract.issues(documents(spark, [author], contract.CHARACTER), documents(spark, [work], contract.WORK)).collect()}
+    assert "creator_missing" not in found and "creator_duplicate" in found

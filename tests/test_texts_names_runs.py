@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ambrel.operators import names as N
 from ambrel.operators.runs import Store
-from ambrel.plans.catalogue import keeper
+from ambrel.sources.scratch import keeper
 from ambrel.sources import texts as X
 from ambrel.streaming import events as V
 
@@ -119,7 +119,7 @@ def test_failed_run_is_marked_and_retried(spark, tmp_path):
 def test_stream_resumes(spark, tmp_path):
     rows = spark.sql("select id, timestamp_seconds(86400 + id * 60) as ts, 'k' as kind, 1.0d as v from range(10)")
     rows.write.parquet(f"{tmp_path}/in")
-    run = lambda: V.append_available(V.distinct(V.files(spark, f"{tmp_path}/in", rows.schema), ["id"], "ts", "1 day"), f"{tmp_path}/out", f"{tmp_path}/cp")
+    run = lambda: V.append_available(V.distinct_within(V.files(spark, f"{tmp_path}/in", rows.schema), ["id"], "ts", "1 day"), f"{tmp_path}/out", f"{tmp_path}/cp")
     run()
     rows.where("id < 3").union(rows.where("id = 9").withColumn("id", F.lit(10).cast("long"))).write.mode("append").parquet(f"{tmp_path}/in")
     run()
