@@ -5,23 +5,25 @@ into full pieces with the shorter rest first. The packing is decided on the
 histogram of piece lengths, which has at most ``capacity`` entries whatever the
 input, so it fits the driver:
 
-1. A first feasible plan: the longest piece left, joined by what fills the room
-   beside it best (sums of all lengths left, one bit each), as often as the
-   histogram allows.
-2. The configuration LP (min sum x_c, sum_c x_c a_cl >= n_l over the
+1. The configuration LP (min sum x_c, sum_c x_c a_cl >= n_l over the
    configurations c of total length <= capacity), by multiplicative weights at
    every size: a length's price falls exponentially with its covered share; a
    knapsack dynamic program over the capacity, with all lengths as items, prices
    the dearest configuration and, for each length, the dearest one that holds it.
    Those within NEAR of the dearest enter the plan by small steps. Any prices give
    a lower bound of the LP: what all pieces are worth over what the dearest
-   configuration is. Every CHECK rounds the columns found so far (and those of the
-   first plan) are weighed anew by multiplicative scaling towards an exact cover;
-   the best feasible x is kept. Rounds end when its value is within GAP of the best
-   bound, or after ROUNDS.
-3. x is rounded along its running sum, never past what is left of a length; what
-   remains is packed as in step 1. Of the rounded and the first plan the one with
-   fewer sequences stays. Whole plans have at least ceil(bound) sequences.
+   configuration is. Every CHECK rounds the columns found so far are weighed anew
+   by multiplicative scaling towards an exact cover; the best feasible x is kept.
+   Rounds end when its value is within GAP of the best bound, or after ROUNDS.
+2. x is rounded along its running sum, never past what is left of a length, full
+   configurations alone; the program is solved again for what they leave, up to
+   PASSES times, until they are at most SHARE of its bound.
+3. The remainder is packed best-fit: the longest
+   one, joined by what fills the room beside it best (sums of all lengths left, one
+   bit each), as often as they allow; after the last x is rounded with its other
+   configurations too, if that takes no more sequences. Only if packing everything
+   best-fit took fewer sequences, it would be done instead. Whole plans have at
+   least ceil(bound) sequences.
 
 A piece then gets its place in closed form: its rank among the pieces of its
 length falls in a configuration's interval of ranks, which gives sequence and
@@ -29,8 +31,8 @@ offset. Ranks are counted by length and salt; a length of n pieces has about
 sqrt(n) salts, so no task holds more than a share of a common length, and neither
 does the table of the salts' sums, which is joined on the keys that the pieces are
 dealt by already. The plan sent to the tasks depends on the number of lengths
-(at most ``capacity``) alone: a step of the first plan uses up a length or halves
-what is left of one beside it, and rounds are limited.
+(at most ``capacity``) alone: a step of best-fit packing uses up a length or
+halves what is left of one beside it, and passes and rounds are limited.
 
 Null texts are empty: the end id alone. Texts of any length are encoded whole.
 Rows may repeat, and so may doc_id (or be null): each row is packed; equal pieces
@@ -56,7 +58,8 @@ from pyspark.sql import Window as W
 from .common import as_table
 
 CAPACITY, END_ID = 2048, 0
-ROUNDS, CHECK, STEP, ETA, NEAR, GAP, SWEEPS, LEAN = 120, 20, 0.1, 3.0, 0.05, 2e-4, 200, 0.5
+ROUNDS, CHECK, STEP, ETA, NEAR, GAP, SWEEPS, LEAN = 60, 20, 0.1, 3.0, 0.05, 2e-4, 200, 0.5
+PASSES, SHARE = 8, 0.05
 #: The pre-tokenizer that SPLIT stands for; a file with another one is left to the library (fixed values).
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -207,19 +210,15 @@ def rescaled(columns: list[tuple], start: np.ndarray, lengths: np.ndarray, count
     return np.exp(log_x) / covered().min()
 
 
-def configuration_lp(histogram: dict[int, int], capacity: int, first: Plan) -> tuple[list[tuple[dict[int, int], float]], float]:
-    """A feasible x (configuration, number) and the best lower bound; ``first``: a feasible plan to begin from."""
+def configuration_lp(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """A feasible x (configuration, number) over columns that the knapsack has priced, and the best lower bound."""
     lengths = np.array(sorted(n for n, k in histogram.items() if k), "i8")
     if not len(lengths):
         return [], 0.0
     counts = np.array([histogram[n] for n in lengths.tolist()], "f8")
     most = np.minimum(counts, capacity // lengths).astype("i8")
     index = {n: i for i, n in enumerate(lengths.tolist())}
-    begun: dict[tuple, float] = {}
-    for config, times in first:
-        key = tuple(sorted((index[n], k) for n, k in config.items()))
-        begun[key] = begun.get(key, 0.0) + times
-    best, value, bound = begun, sum(begun.values()), 0.0
+    best, value, bound = {}, math.inf, 0.0
     moved: dict[tuple, float] = {}
     cover = np.zeros(len(lengths))
     for turn in range(1, ROUNDS + 1):
@@ -245,21 +244,20 @@ def configuration_lp(histogram: dict[int, int], capacity: int, first: Plan) -> t
                 moved[key] = moved.get(key, 0.0) + x
         cover += used
         if turn % CHECK == 0 and cover.min() > 0:
-            mixed = dict(begun)
-            for key, x in moved.items():
-                mixed[key] = mixed.get(key, 0.0) + x / cover.mean()
-            columns = [*mixed]
-            weighed = dict(zip(columns, rescaled(columns, np.array([*mixed.values()]), lengths, counts, capacity).tolist()))
+            columns = [*moved]
+            weighed = dict(zip(columns, rescaled(columns, np.array([*moved.values()]) / cover.mean(), lengths, counts, capacity).tolist()))
             for found in (weighed, {key: x / cover.min() for key, x in moved.items()}):
                 if sum(found.values()) < value:
                     best, value = found, sum(found.values())
     return [({int(lengths[i]): k for i, k in key}, x) for key, x in best.items()], bound
 
 
-def rounded(fractional: list[tuple[dict[int, int], float]], histogram: dict[int, int], capacity: int) -> Plan:
-    """Whole numbers along the running sum of x, full configurations first; the rest by best_fit()."""
-    left, plan, total = dict(histogram), [], 0.0
-    for config, x in sorted(fractional, key=lambda c: capacity - sum(n * k for n, k in c[0].items())):
+def rounded(fractional: list[tuple[dict[int, int], float]], left: dict[int, int], capacity: int, full: bool) -> Plan:
+    """Whole numbers along the running sum of x, full configurations first, or they alone; taken out of ``left``."""
+    plan, total, room = [], 0.0, lambda c: capacity - sum(n * k for n, k in c.items())
+    for config, x in sorted(fractional, key=lambda c: room(c[0])):
+        if full and room(config):
+            break
         times = int(total + x + 1e-9) - int(total + 1e-9)
         total += x
         times = min([times, *(left[n] // k for n, k in config.items())])
@@ -267,17 +265,26 @@ def rounded(fractional: list[tuple[dict[int, int], float]], histogram: dict[int,
             plan.append((config, times))
             for n, k in config.items():
                 left[n] -= k * times
-    return plan + best_fit(left, capacity)
+    return plan
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """Configurations (length -> times) with their whole numbers, which hold every piece exactly once."""
-    full = histogram.get(capacity, 0)
-    short = {n: k for n, k in histogram.items() if n < capacity and k}
-    first = best_fit(short, capacity)
-    fractional, _ = configuration_lp(short, capacity, first)
-    plan = min(first, rounded(fractional, short, capacity), key=lambda p: sum(times for _, times in p))
-    return plan + [({capacity: 1}, full)] * (full > 0)
+    count = lambda p: sum(times for _, times in p)
+    left, plan = {n: k for n, k in histogram.items() if n < capacity and k}, []
+    short = dict(left)
+    for _ in range(PASSES):
+        fractional, bound = configuration_lp(left, capacity)
+        taken = rounded(fractional, left, capacity, full=True)
+        plan += taken
+        if count(taken) <= SHARE * bound:
+            break
+    remainder = best_fit(left, capacity)
+    others = rounded(fractional, left, capacity, full=False)
+    plan += min(others + best_fit(left, capacity), remainder, key=count)
+    plan = min(plan, best_fit(short, capacity), key=count)  # of as many sequences the program's stays
+    whole = histogram.get(capacity, 0)
+    return plan + [({capacity: 1}, whole)] * (whole > 0)
 
 
 def intervals(plan: Plan) -> dict[str, np.ndarray]:
