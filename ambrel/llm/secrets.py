@@ -4,12 +4,16 @@ Base patterns (assign, access, hex) are reported wherever they match. Weak
 candidates mean little alone: an account name, a bare 40-character key, an
 endpoint. They are reported only when complementary parts stand within the same
 scope, found by an interval join: two parts join if at most ``reach`` code
-points lie between their spans, and no blank line ("\\n\\n") does.
+points lie between their spans, and no blank line (white space alone, whatever
+ends its lines) does.
 
 * ident (account ids and names, mail addresses, other key ids): needs a secret part.
 * key (bare mixed 40-character strings, pass/key/auth assignments): needs an access id or ident.
 * endpoint (URLs with a scheme, cloud hosts): needs both an access id or ident and a secret part.
 
+A group is reported whole: an ident or key that an endpoint is reported for is
+reported too, even if the group's other part is out of its own reach.
+
 Secret parts are assign, hex and key. A weak span that overlaps a base span is
 part of it and not reported again. The join is a merge over the sorted spans of
 one text: nothing is shuffled, no pairs are emitted, memory is that of a text.
@@ -39,6 +43,7 @@ from pyspark.sql import types as T
 from .common import shielded
 
 REACH = 200
+BLANK_LINE = re.compile(r"\n[^\S\n]*\n|\r[^\S\r\n]*\r")
 #: Kinds in the order of the report, and their patterns.
 KINDS = ("assign", "access", "hex", "ident", "key", "endpoint")
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -104,7 +109,7 @@ class Spans:
         i = bisect_left(self.spans, (start, end))
         gaps = [(self.ends[i - 1], start)] if i else []  # of those before, the one that ends last is nearest
         gaps += [(end, s) for s, _ in self.spans[i : i + 1]]
-        return any(b - a <= reach and "\n\n" not in text[a:b] for a, b in gaps)
+        return any(b - a <= reach and not (a < b and BLANK_LINE.search(text, a, b)) for a, b in gaps)
 
 
 def scan(text: str | None, reach: int = REACH) -> list[tuple[int, int, int]]:
@@ -124,10 +129,11 @@ def scan(text: str | None, reach: int = REACH) -> list[tuple[int, int, int]]:
         return base
     ident = free(ident_spans(text))
     names, secrets = Spans(access + ident), Spans(secret + key)
-    found = base + [(s, 3, e) for s, e in ident if secrets.near(text, s, e, reach)]
-    found += [(s, 4, e) for s, e in key if names.near(text, s, e, reach)]
-    if names:
-        found += [(s, 5, e) for s, e in free(endpoint_spans(text)) if names.near(text, s, e, reach) and secrets.near(text, s, e, reach)]
+    whole = [x for x in free(endpoint_spans(text)) if names.near(text, *x, reach) and secrets.near(text, *x, reach)] if names else []
+    between = Spans(whole)  # what lies near one of these is part of a complete group, however far its other parts are
+    found = base + [(s, 5, e) for s, e in whole]
+    found += [(s, 3, e) for s, e in ident if secrets.near(text, s, e, reach) or between.near(text, s, e, reach)]
+    found += [(s, 4, e) for s, e in key if names.near(text, s, e, reach) or between.near(text, s, e, reach)]
     return sorted(found)
 
 
