@@ -34,6 +34,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -119,10 +120,29 @@ def _slices(text: str):
         yield trigram_codes(text[at : at + SLICE])
 
 
+#: The bibliographic codes of ISO 639-2 that differ from the terminological ones.
+BIBLIOGRAPHIC = {
+    "alb": "sqi", "arm": "hye", "baq": "eus", "bur": "mya", "chi": "zho", "cze": "ces", "dut": "nld", "fre": "fra", "geo": "kat", "ger": "deu",
+    "gre": "ell", "ice": "isl", "mac": "mkd", "mao": "mri", "may": "msa", "per": "fas", "rum": "ron", "slo": "slk", "tib": "bod", "wel": "cym",
+}
+
+
+def language_codes(spark, langs: list[str]) -> dict[str, str]:
+    """All whole codes of the languages: two letters, three letters (from the JVM's table), bibliographic ones."""
+    out = {x: x for x in langs}
+    for x in langs:
+        try:
+            out.setdefault(spark._jvm.java.util.Locale(x).getISO3Language(), x)
+        except Py4JJavaError:  # no language of that table
+            continue
+    return out | {b: out[t] for b, t in BIBLIOGRAPHIC.items() if t in out}
+
+
 def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
     """page_id, host, domain, declared, suffix (numbers: language, L other, L + 1 none) and text (array: tempered log likelihoods, greatest 0)."""
     table, many = np.ascontiguousarray(model.T), len(langs)
     number = {x: i for i, x in enumerate(langs)}
+    codes_of = {code: number[x] for code, x in language_codes(pages.sparkSession, langs).items()}
 
     def run(batches):
         for batch in batches:
@@ -131,7 +151,7 @@ def evidence(pages: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame
                 found = _HOST.match(url or "")
                 host = found[1].lower().rstrip(".") if found else ""
                 said = declared_language(html or "")
-                declared = number.get(said[:2], many) if said else many + 1
+                declared = codes_of.get(said, many) if said else many + 1
                 suffix = number.get(SUFFIXES.get(host.rpartition(".")[2], ""), many + 1)
                 text = _TAGS.sub(" ", html or "")
                 score = sum(table[codes].sum(0) for codes in _slices(text)) * TEMPER if text.strip() else np.zeros(many)

@@ -136,19 +136,24 @@ def test_small_packings_against_every_packing():
     assert over <= 2  # of 60
 
 
-def test_configuration_program_is_solved_to_its_gap():
+def test_configuration_program_makes_the_packing(monkeypatch):
     r = random.Random(5)
-    histogram = dict(Counter(r.choice([3, 7, 8, 11, 17, 23, 31, 42, 49, 57]) for _ in range(4000)))
-    greedy = packing.best_fit(histogram, 100)
-    x, bound = packing.configuration_lp(histogram, 100, greedy)
-    cover = Counter()
-    for config, times in x:
-        assert sum(n * k for n, k in config.items()) <= 100
-        for n, k in config.items():
-            cover[n] += k * times
-    assert all(cover[n] >= k - 1e-6 for n, k in histogram.items())
-    assert bound <= sum(t for _, t in x) <= (1 + packing.GAP) * bound + 1e-6 or sum(t for _, t in x) <= sum(t for _, t in greedy)
-    assert math.ceil(bound - 1e-9) <= sum(t for _, t in packing.solve(histogram, 100)) <= sum(t for _, t in greedy)
+    count = lambda plan: sum(t for _, t in plan)
+    for histogram, capacity in ((Counter(r.choice([3, 7, 8, 11, 17, 23, 31, 42, 49, 57]) for _ in range(4000)), 100), ({n: 40 + n % 37 for n in range(5, 300)}, 512), ({n: 4 + n % 3 for n in range(5, 300)}, 512)):
+        greedy, rests = packing.best_fit(dict(histogram), capacity), []
+        x, bound = packing.configuration_lp(dict(histogram), capacity)
+        cover = Counter()
+        for config, times in x:
+            assert sum(n * k for n, k in config.items()) <= capacity
+            for n, k in config.items():
+                cover[n] += k * times
+        assert all(cover[n] >= k - 1e-6 for n, k in histogram.items()) and bound <= count(x) + 1e-6
+        with monkeypatch.context() as m:
+            m.setattr(packing, "best_fit", lambda left, room, plain=packing.best_fit: rests.append(plain(left, room)) or rests[-1])
+            plan = packing.solve(dict(histogram), capacity)
+        rest = next(x for x in rests if plan[len(plan) - len(x) :] == x)
+        assert len(plan) > len(rest) and count(rest) < 0.2 * count(plan) and plan != greedy  # best-fit packs what rounding leaves
+        assert math.ceil(bound - 1e-9) <= count(plan) <= count(greedy)
 
 
 @pytest.mark.parametrize("damaged", ["chunks", "recipes", "tree", "manifest"])
@@ -191,24 +196,34 @@ def test_token_counts_over_code_points(spark):
 
 
 def test_secret_links_against_all_pairs():
+    """From the statement: parts link within reach unless a line of white space alone lies between; groups are told whole."""
     r = random.Random(12)
     parts = ["password=hunter22secret", "AKIA" + "Q7" * 8, "0123456789abcdef" * 2, "login: bob", "me@mail.example.org", "aB3" + "x9Yk" * 9 + "Q", "pass: longenough1", "https://h.example.com/x", "s3.amazonaws.com", "token=" + "ab" * 60 + " "]
-    for _ in range(400):
-        text = "".join(r.choice(parts) + r.choice([" ", " " * 190, " " * 199, " " * 205, "\n\n", "Z", ""]) for _ in range(r.randint(1, 8)))
+    gaps = [" ", " " * 140, " " * 190, " " * 199, " " * 205, "\n\n", "\r\n\r\n", "\n \t\n", "\r\n", " \n", "\r\r", "Z", ""]
+    for _ in range(600):
+        text = "".join(r.choice(parts) + r.choice(gaps) for _ in range(r.randint(1, 8)))
         base = secrets.base_spans(text)
         free = lambda spans: [x for x in spans if not any(s < x[1] and x[0] < e for s, _, e in base)]  # noqa: E731, B023
         ident, key, ends = free(secrets.ident_spans(text)), free(secrets.key_spans(text)), free(secrets.endpoint_spans(text))
 
-        def near(x, others):
-            gaps = [(e, x[0]) if s < x[0] else (x[1], s) for s, e in others if (s, e) != x]
-            return any(b - a <= secrets.REACH and "\n\n" not in text[a:b] for a, b in gaps)  # noqa: B023
+        def linked(x, y):
+            (a, b) = (x[1], y[0]) if x < y else (y[1], x[0])
+            lines = re.split("\r\n|\n|\r", text[a:b]) if a < b else []  # noqa: B023
+            return x != y and b - a <= secrets.REACH and not any(not line.strip() for line in lines[1:-1])
 
         names, hidden = [(s, e) for s, k, e in base if k == 1] + ident, [(s, e) for s, k, e in base if k != 1] + key
-        expected = base + [(s, 3, e) for s, e in ident if near((s, e), hidden)] + [(s, 4, e) for s, e in key if near((s, e), names)]
-        expected += [(s, 5, e) for s, e in ends if near((s, e), names) and near((s, e), hidden)]
+        whole = [x for x in ends if any(linked(x, n) for n in names) and any(linked(x, h) for h in hidden)]
+        expected = base + [(s, 3, e) for s, e in ident if any(linked((s, e), y) for y in hidden + whole)]
+        expected += [(s, 4, e) for s, e in key if any(linked((s, e), y) for y in names + whole)] + [(s, 5, e) for s, e in whole]
         assert secrets.scan(text) == sorted(expected), text
 
 
+def test_a_group_is_told_whole():
+    text = "login: bobby" + " " * 144 + "https://h.example.com/x" + " " * 144 + "pwd=abcdefgh1"
+    assert [k for _, k, _ in secrets.scan(text)] == [3, 5, 4]
+    assert secrets.scan(text.replace(" " * 144 + "p", "\r\n \r\np")) == []
+
+
 @pytest.mark.parametrize("piece", ["a.", "a", "a@", "user", "x.amazonaws.com", "http://", "password = ", "AKIA", "0f", "-", "a-b_c.d@"])
 def test_secrets_in_a_megabyte_of_one_run(piece):
     began = time.process_time()
@@ -257,3 +272,11 @@ def test_pipeline_stages_with_nulls_copies_and_further_columns(spark):
                     assert left[a] != left[b] and (not both or both < 0.8 * (bags[a] | bags[b]).total())
     assert corpus_pipeline.STAGES[-1][1](spark, docs, f"{DATA}/sf0.001").count() >= docs.count()
     assert corpus_pipeline.STAGES[0][1](spark, docs.limit(0), f"{DATA}/sf0.001").count() == 0
+
+
+def test_declared_codes_are_read_whole(spark):
+    codes = language_id.language_codes(spark, ["de", "en", "es", "fr", "xx"])
+    assert codes == {"de": "de", "en": "en", "es": "es", "fr": "fr", "xx": "xx", "deu": "de", "eng": "en", "spa": "es", "fra": "fr", "ger": "de", "fre": "fr"} | {k: v for k, v in codes.items() if v == "xx"}
+    pages = spark.createDataFrame([(i, "http://h.example", f'<html lang="{x}">') for i, x in enumerate(["es", "est", "ES-mx", "spa", "fry", "fre", "ger", "xyz", "e"])], "page_id long, url string, html string")
+    rows = language_id.evidence(pages, ["de", "es", "fr"], np.zeros((3, language_id.BUCKETS))).orderBy("page_id").collect()
+    assert [r["declared"] for r in rows] == [1, 3, 1, 1, 3, 2, 0, 3, 4]
