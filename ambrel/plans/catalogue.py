@@ -450,13 +450,28 @@ def merged_by_priority(spark, d):
     return X.by_priority([side("labels", "label"), side("documents", "document")], "doc_id", "position").select("doc_id", "kind")
 
 
-@query()
+@query("""
+WITH RECURSIVE n AS (SELECT DISTINCT x AS name, lower(x) AS low FROM (SELECT p_name AS x FROM part UNION SELECT upper(p_name) FROM part)),
+e AS (SELECT a.name AS a, b.name AS b FROM n a JOIN n b ON a.name <> b.name AND (a.low = b.low OR (length(a.low) >= 2 AND contains(b.low, a.low)) OR (length(b.low) >= 2 AND contains(a.low, b.low)))),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a) SELECT a AS p_name, least(a, min(b)) AS component FROM r GROUP BY a""")
 def name_groups(spark, d):
-    """Parts' names in groups: without their last word, by case, by containment; tested against brute force."""
+    """Parts' names in groups, by case and by containment, merged into components."""
     part = table(spark, d, "part")
     return N.name_groups(part.select("p_name").union(part.select(F.upper("p_name"))), "p_name", keeper(spark))
 
 
+@query("""
+WITH RECURSIVE t AS (SELECT c_custkey AS c, 'n' || c_nationkey || ':' || floor(c_acctbal / 20)::BIGINT AS k FROM customer UNION SELECT c_custkey, c_mktsegment || ':' || floor(c_acctbal / 3)::BIGINT FROM customer),
+m AS (SELECT k, min(c) AS a FROM t GROUP BY k), e AS (SELECT DISTINCT a, c AS b FROM t JOIN m USING (k) WHERE a <> c), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a) SELECT a AS c_custkey, least(a, min(b)) AS component FROM r GROUP BY a""")
+def duplicate_components(spark, d):
+    """Customers that share a token (nation or segment with a band of the balance), merged into components."""
+    band = lambda w: F.floor(F.col("c_acctbal") / w).cast("string")
+    tokens = F.array(F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit(":"), band(20)), F.concat("c_mktsegment", F.lit(":"), band(3)))
+    rows = table(spark, d, "customer").select("c_custkey", F.explode(tokens).alias("token"))
+    return N.components(N.linked_by(rows, "c_custkey", F.col("token"), "token").select("a", "b"), keeper(spark)).withColumnRenamed("node", "c_custkey")
+
+
 @query("SELECT lower(p_name) AS low, count(DISTINCT x) AS spellings FROM (SELECT p_name, p_name AS x FROM part UNION SELECT p_name, upper(p_name) FROM part) GROUP BY 1 HAVING count(DISTINCT x) > 1")
 def case_groups(spark, d):
     part = table(spark, d, "part")

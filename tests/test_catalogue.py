@@ -2,7 +2,7 @@
 
 import pytest
 
-from ambrel.plans import catalogue, changes, entities, imports, nesting  # noqa: F401  (the others add their queries to the catalogue)
+from ambrel.plans import catalogue, changes, entities, imports, nesting, priors  # noqa: F401  (the others add their queries to the catalogue)
 from tests.oracle import DATA, differences
 
 
