@@ -9,6 +9,8 @@ from ..operators import evaluation as E
 from ..operators import projection as P
 from ..operators import resume as U
 from ..operators import sync as Y
+from ..operators import training as T
+from ..sources.scratch import keeper
 from ..sources.tables import table
 from .catalogue import query
 
@@ -165,3 +167,24 @@ def prior_evaluation(spark, d):
     long = E.prior_variants(rows, ["user_id", "rating"]).withColumn("score", F.round("score", 9))
     out = E.variant_metrics(long, "user_id", "rating", "content")
     return out.select("variant", "positives", "negatives", "pairs", F.round("auc", 6).alias("auc"), F.round("separation", 6).alias("separation"), F.round("gain", 6).alias("gain"))
+
+
+@query("""
+WITH h AS (SELECT doc_id, sha256('split-7:' || doc_id) AS h FROM documents), b AS (SELECT doc_id, row_number() OVER (ORDER BY ('0x' || substr(h, 1, 6))::BIGINT % 4096, h) AS r, count(*) OVER () AS n FROM h)
+SELECT doc_id, CASE WHEN r <= round_even(n * 0.1, 0) THEN 'eval' ELSE 'train' END AS part FROM b""")
+def exact_split(spark, d):
+    """Exactly a tenth of the documents, by hash."""
+    return T.exact_split(table(spark, d, "documents").select("doc_id"), "doc_id", 0.1, "split-7")
+
+
+@query("""
+WITH e AS (SELECT user_id, event_id, (props->>'$.k')::DOUBLE AS k, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+SELECT c_custkey, c_name, k, value FROM customer JOIN e ON user_id = c_custkey WHERE k IS NOT NULL AND value IS NOT NULL""")
+def training_join(spark, d):
+    """Customers with the labels of their last event, where it has both."""
+    events = table(spark, d, "events").where("user_id is not null")
+    note = F.concat(F.lit('{"at":'), F.coalesce("props", F.lit("null")), F.lit(',"value":'), F.coalesce(F.col("value").cast("string"), F.lit("null")), F.lit("}"))
+    notes = events.select(F.col("user_id").cast("long").alias("c_custkey"), F.col("event_id").alias("position"), note.alias("note"))
+    inputs = table(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name")
+    out = T.examples(inputs, notes, "c_custkey", "note", keeper(spark))["examples"]
+    return out.select("c_custkey", "c_name", F.try_element_at("labels", F.lit("at.k")).alias("k"), F.try_element_at("labels", F.lit("value")).alias("value"))
