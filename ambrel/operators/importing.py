@@ -151,19 +151,21 @@ def refuse_if_any(found: DataFrame) -> None:
 def import_batch(store: Store, name: str, characters: DataFrame, works: DataFrame, creator: int = 1, forbidden: str | None = contract.PHRASES) -> dict:
     """Load the documents as one run, or refuse; its manifest, with the numbers of rows loaded as ``result``."""
     store.require({t: [f.split(" ")[0] for f in s.split(", ")] for t, s in TABLES.items()} | {"country": ["id", "code"]})
-    result = {}
 
     def changes(read):
         refuse_if_any(problems(characters, works, read, creator, forbidden))
         rows = tables_of(characters, works, read("country"), creator)
         across, _ = cross_batch(characters, works, read, creator)
         parents = rows["work"].select(F.col("id").alias("work_id"))
-        result.update({"characters": rows["character"].count(), "works": rows["work"].count(), "crossBatchRelations": (n := across.count()), "relations": rows["work_creator"].count() + n, "subcategoryTags": rows["work_subcategory"].count()})
         rows["work_creator"] = rows["work_creator"].union(across)
         replaced = {"work_creator", "work_subcategory"}
         return {t: Change(df, "id", None, "work_id", parents) if t in replaced else Change(df, "id") for t, df in rows.items()}
 
     run = store.load(name, changes, inputs=digest_of(characters, works))
+    loaded = {t: store._change(at) for t, at in run["tables"].items()}
+    n = {t: c.rows.count() for t, c in loaded.items()}
+    across = loaded["work_creator"].rows.join(loaded["work_creator"].parents, "work_id", "left_anti").count()
+    result = {"characters": n["character"], "works": n["work"], "relations": n["work_creator"], "crossBatchRelations": across, "subcategoryTags": n["work_subcategory"]}
     return store._mark(run, run["status"], result=result)
 
 

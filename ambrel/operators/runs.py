@@ -18,6 +18,7 @@ import json
 import os
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,12 @@ def digest_of(*frames: DataFrame) -> str:
     return hashlib.sha256(json.dumps([(p["n"], str(p["s"])) for p in parts]).encode()).hexdigest()
 
 
+def _at_once(jobs: list[Callable]) -> list:
+    """Run jobs of Spark side by side, since each alone may leave executors idle; the first error is raised."""
+    with ThreadPoolExecutor(max(1, min(8, len(jobs)))) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 @dataclasses.dataclass
 class Change:
     """What a load does to a table: children of ``parents`` go, then ``rows`` come.
@@ -162,10 +169,9 @@ class Store:
                 seen.add(table)
                 return self._at(tables, table)
 
-            written = {}
-            for table, df in make(read).items():
-                written[table] = f"{table}/{uuid.uuid4().hex}"
-                df.write.parquet(f"{self.home}/{written[table]}")
+            made = make(read)
+            written = {table: f"{table}/{uuid.uuid4().hex}" for table in made}
+            _at_once([lambda df=df, t=table: df.write.parquet(f"{self.home}/{written[t]}") for table, df in made.items()])
             now, base = n, tables
             while all(base.get(t) == tables.get(t) for t in seen | set(written)):
                 value = base | {t: {"folder": f, "version": now + 1} for t, f in written.items()}
@@ -238,15 +244,16 @@ class Store:
 
         def make(read):
             nonlocal m
-            m["tables"], out, attempt = {}, {}, uuid.uuid4().hex
-            for table, change in asked(read).items():
-                home, old = f"{self.home}/_runs/{run}/{attempt}/{table}", read(table)
-                change = dataclasses.replace(change, rows=self._kept(change.rows.select(*old.columns), f"{home}/new"))
-                if change.parent is not None:
-                    change.parents = self._kept(change.parents.select(change.parent).distinct(), f"{home}/parents")
-                self._kept(_touched(old, change.touched()), f"{home}/before")
-                m["tables"][table] = {"home": f"_runs/{run}/{attempt}/{table}", "key": change.key, "columns": change.columns, "parent": change.parent}
-                out[table] = change.applied(old).select(*old.columns)
+            attempt, found = uuid.uuid4().hex, asked(read)
+            old = {table: read(table) for table in found}
+            m["tables"] = {t: {"home": f"_runs/{run}/{attempt}/{t}", "key": c.key, "columns": c.columns, "parent": c.parent} for t, c in found.items()}
+            home = lambda t, what: f"{self.home}/{m['tables'][t]['home']}/{what}"
+            jobs = [lambda t=t, c=c: c.rows.select(*old[t].columns).write.parquet(home(t, "new")) for t, c in found.items()]
+            jobs += [lambda t=t, c=c: c.parents.select(c.parent).distinct().write.parquet(home(t, "parents")) for t, c in found.items() if c.parent is not None]
+            _at_once(jobs)
+            kept = {t: self._change(at) for t, at in m["tables"].items()}
+            _at_once([lambda t=t, c=c: _touched(old[t], c.touched()).write.parquet(home(t, "before")) for t, c in kept.items()])
+            out = {t: c.applied(old[t]).select(*old[t].columns) for t, c in kept.items()}
             m = self._mark(m, "snapshotted")
             return out
 
@@ -260,10 +267,6 @@ class Store:
         write_json(self.spark, f"{self.home}/_runs/latest.json", {"run": run})
         return self._mark(m, "succeeded")
 
-    def _kept(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     def _change(self, at: dict) -> Change:
         """A run's change of a table as it was kept."""
         read = lambda what: self.spark.read.parquet(f"{self.home}/{at['home']}/{what}")

@@ -126,3 +126,31 @@ def remap_ids(spark, d):
     suppliers = table(spark, d, "supplier")
     mapping = suppliers.where("s_nationkey < 20").select(F.col("s_suppkey").alias("old"), (F.col("s_suppkey") + 1000000).alias("new"))
     return R.remapped(suppliers.select("s_suppkey"), mapping, "s_suppkey", "new_key")
+
+
+_PIECES = f"""
+WITH p AS (SELECT p_partkey AS k, p_size AS z, p_size % 16 AS g, (p_size % 16) * 1000 + p_size % 20 AS own, CASE WHEN p_size = 42 THEN 1 ELSE p_size % 40 END AS r, p_partkey % 60 AS n FROM part),
+spans(g, a, b) AS (VALUES {', '.join(f'({g}, {a}, {b})' for g, (a, b) in C.SUBCATEGORIES.items())}),
+allowed(r, g) AS (VALUES {', '.join(f'({r}, {g})' for r, gs in C.RELATION_GENRES.items() for g in gs)}),
+q AS (SELECT p.*, p.g IN {C.GENRES} AS real, EXISTS (SELECT 1 FROM spans s WHERE s.g = p.g AND own BETWEEN a AND b) AS fits, EXISTS (SELECT 1 FROM spans s WHERE s.g = p.g AND p.g * 1000 + 1 BETWEEN a AND b) AS first, EXISTS (SELECT 1 FROM allowed a WHERE a.r = p.r AND a.g = p.g) AS suits FROM p)"""
+_WORK_RULES = {
+    "id_pattern": "z = 50", "work_name": "z = 49", "original_name": "z = 48", "genre": "NOT real", "subcategory": "NOT fits", "tag": "NOT fits OR (z % 5 = 0 AND z <> 47 AND NOT first)", "tag_duplicate": "z = 47 OR (z % 5 = 0 AND own = g * 1000 + 1)",
+    "year": "z = 46", "country_code": "z = 45", "creators_empty": "z = 44", "relation_type": "z <> 44 AND NOT (r BETWEEN 1 AND 35 OR r = 99)", "relation_genre": "z <> 44 AND r BETWEEN 2 AND 35 AND NOT suits", "sort_order": "z = 43", "creator_duplicate": "z = 42",
+    "primary_author": "z = 41", "introduction_missing": "n = 0", "introduction_short": "n BETWEEN 1 AND 39",
+}
+
+
+@query(_PIECES + " SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{r}' AS rule, count(*) AS n FROM q WHERE {w}" for r, w in _WORK_RULES.items()) + ") WHERE n > 0")
+def work_contract(spark, d):
+    """Parts as work documents under the whole contract, issues counted by rule."""
+    k, z, lit = F.col("p_partkey"), F.col("p_size").cast("int"), F.lit
+    genre = z % 16
+    own, creator = genre * 1000 + z % 20, lambda n, r, o: F.struct(lit(f"realCharacter_abc_1000_00{n}").alias("characterId"), r.cast("int").alias("relationType"), o.cast("int").alias("sortOrder"))
+    second = F.when(z == 42, creator(1, lit(1), lit(1))).otherwise(creator(2, z % 40, F.when(z == 43, 5).otherwise(1)))
+    works = table(spark, d, "part").select(
+        F.when(z == 50, F.concat(lit("bad"), k.cast("string"))).otherwise(F.concat(lit("work_abc_"), (1 + F.floor(k / 1000)).cast("string"), lit("_"), F.lpad((k % 1000).cast("string"), 3, "0"))).alias("workId"),
+        F.when(z != 49, F.col("p_name")).alias("workName"), F.when(z == 48, " ").alias("originalName"), genre.alias("genre"), own.alias("subcategory"), F.when(z == 47, F.array(own, own)).when(z % 5 == 0, F.array(own, genre * 1000 + 1)).alias("subcategories"),
+        F.when(z == 46, 0).otherwise(1900).alias("year"), F.when(z == 45, "usa").otherwise("USA").alias("countryCode"), F.rpad(lit(""), (k % 60).cast("int"), lit("x")).alias("introduction"), F.when(z == 41, "nobody").alias("primaryAuthorId"),
+        F.when(z != 44, F.array(creator(1, lit(1), lit(0)), second)).alias("creators"), k.cast("long").alias("position"),
+    )
+    return C.work_issues(works).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))

@@ -114,14 +114,22 @@ def test_two_loads_at_once_lose_none(spark, tmp_path):
     assert store.read("t").count() == 13 and store.read("u").count() == 13
 
 
-def test_retry_from_what_was_kept(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    store.write("t", spark.createDataFrame([(1, "a")], "id int, name string"))
-    with pytest.raises(Exception, match="no table u"):
-        store.load("x", lambda read: {"t": Change(spark.createDataFrame([(1, "b")], "id int, name string"), "id"), "u": Change(read("t"), "id")})
+def test_retry_from_what_was_kept(spark, tmp_path, monkeypatch):
+    from ambrel.operators import runs
+
+    store, row = Store(spark, str(tmp_path)), lambda v: spark.createDataFrame([(1, v)], "id int, name string")
+    store.commit(lambda read: {"t": row("a"), "u": row("a")})
+    with monkeypatch.context() as m, pytest.raises(OSError, match="gone"):
+        m.setattr(runs, "put_new", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        store.load("x", {"t": Change(row("b"), "id"), "u": Change(row("c"), "id")})
     (run,) = [p.name for p in (tmp_path / "_runs").iterdir() if p.is_dir()]
     assert store.manifest(run)["status"] == "failed" and store.read("t").first()["name"] == "a"
-    assert store.retry(run)["parent"] == run and store.read("t").first()["name"] == "b"
+    assert store.retry(run)["parent"] == run and [store.read(t).first()["name"] for t in "tu"] == ["b", "c"]
+    with pytest.raises(ValueError, match="no table v"):
+        store.load("y", {"t": Change(row("d"), "id"), "v": Change(row("d"), "id")})
+    (other,) = [p.name for p in (tmp_path / "_runs").iterdir() if p.name.startswith("y")]
+    with pytest.raises(ValueError, match="not there: no table"):
+        store.retry(other)
 
 
 def test_put_new_never_replaces(spark, tmp_path):
