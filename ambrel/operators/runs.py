@@ -163,17 +163,18 @@ class Store:
         """
         for _ in range(tries):
             n, tables = self.snapshot()
-            seen: set[str] = set()
+            seen: dict[str, DataFrame] = {}
 
             def read(table: str) -> DataFrame:
-                seen.add(table)
-                return self._at(tables, table)
+                if table not in seen:
+                    seen[table] = self._at(tables, table)
+                return seen[table]
 
             made = make(read)
             written = {table: f"{table}/{uuid.uuid4().hex}" for table in made}
             _at_once([lambda df=df, t=table: df.write.parquet(f"{self.home}/{written[t]}") for table, df in made.items()])
             now, base = n, tables
-            while all(base.get(t) == tables.get(t) for t in seen | set(written)):
+            while all(base.get(t) == tables.get(t) for t in {*seen, *written}):
                 value = base | {t: {"folder": f, "version": now + 1} for t, f in written.items()}
                 if put_new(self.spark, f"{self.home}/_versions/{now + 1:012d}.json", value):
                     return now + 1

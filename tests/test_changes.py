@@ -53,14 +53,12 @@ def test_refused_patch_writes_nothing(spark, tmp_path):
         "work_none": ({"newId": "n"}, work | {"year": None}, 1, 0, False), "work_lacks_field": ({"newId": "n"}, {"workName": "A novel"}, 1, 0, False), "work_unknown_new": ({"newId": "n"}, {"newId": "y"}, 1, 0, False),
         "relation_type": ({"newId": "n"}, work, 100, 0, False), "relation_genre": ({"newId": "n"}, work, 14, 0, False),
     }
-    good = ({"newId": "n"}, work, 1, 0, False)
-    for problem, relation in cases.items():
-        with pytest.raises(I.ImportRefused) as refused:
-            P.apply_patch(store, "p", *patch(spark, store, [good, relation], [AUTHOR | {"id": "n"}]))
-        assert refused.value.counts == {problem: 1}
+    rows = patch(spark, store, [({"newId": "n"}, work, 1, 0, False), *cases.values()], [AUTHOR | {"id": "n"}])
+    found = {r["problem"]: r["entity_id"] for r in P.problems(*rows, store.read).collect()}
+    assert found == {problem: f"relation {i + 1}" for i, problem in enumerate(cases)}
     with pytest.raises(I.ImportRefused) as refused:
-        P.apply_patch(store, "p", *patch(spark, store, [], [AUTHOR | {"id": "n"}, AUTHOR | {"id": " n"}, AUTHOR | {"id": None}, AUTHOR | {"id": "m", "countryCode": "XXX"}]))
-    assert refused.value.counts == {"duplicate_id": 1, "missing_id": 1, "country_unknown": 1} and store.snapshot() == before
+        P.apply_patch(store, "p", *patch(spark, store, [({"newId": "n"}, work, 1, 0, False), cases["character_many"]], [AUTHOR | {"id": "n"}, AUTHOR | {"id": " n"}, AUTHOR | {"id": None}, AUTHOR | {"id": "m", "countryCode": "XXX"}]))
+    assert refused.value.counts == {"character_many": 1, "duplicate_id": 1, "missing_id": 1, "country_unknown": 1} and store.snapshot() == before
 
 
 REFERENCES = [("b", "a_id", "a"), ("c", "b_id", "b"), ("c", "a_id", "a"), ("b", "b_id", "b"), ("d", "x", "other")]

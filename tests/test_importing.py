@@ -58,21 +58,19 @@ def test_refused_imports_write_nothing(spark, tmp_path):
     store = new_store(spark, tmp_path)
     load(spark, store, [AUTHOR], [TALE | {"originalName": " Roman "}])
     before = store.snapshot()
-    cases = {
-        "gender": ([AUTHOR | {"gender": 9}], [TALE]),
-        "natural_key": ([AUTHOR | {"id": "realCharacter_fra_1802_301", "ownWork": []}], []),
-        "natural_key 1": ([], [NOVEL | {"workId": "work_fra_1831_999", "originalName": "Roman", "countryCode": "FRA", "creators": []}]),
-        "country_unknown": ([AUTHOR | {"countryCode": "XYZ"}], [TALE]),
-        "work_unknown": ([AUTHOR | {"ownWork": [{"workId": "work_fra_1_000", "relationType": 1}]}], []),
-        "relation_genre": ([AUTHOR | {"ownWork": [{"workId": NOVEL["workId"], "relationType": 17}]}], []),
-    }
-    for problem, (people, works) in cases.items():
-        with pytest.raises(I.ImportRefused) as refused:
-            load(spark, store, people, works)
-        assert problem.split(" ")[0] in refused.value.counts and refused.value.examples
-        assert store.snapshot() == before
-    failed = [m for m in (store.manifest(r.name) for r in (tmp_path / "_runs").iterdir() if r.is_dir()) if m["status"] == "failed"]
-    assert len(failed) == len(cases)
+    person = lambda n, **more: AUTHOR | {"id": f"realCharacter_fra_1802_{n}", "names": [{"language": 1, "name": f"N{n}"}], "ownWork": [], "position": n} | more
+    people = [
+        person(400, gender=9), person(401, names=[{"language": 1, "name": " Author "}]), person(402, countryCode="XYZ"), person(403, ownWork=[{"workId": "work_fra_1_000", "relationType": 1}]),
+        person(404, ownWork=[{"workId": NOVEL["workId"], "relationType": 17}]), person(405, names=[{"language": 3, "name": "Author"}]), person(406),
+    ]
+    works = [NOVEL | {"workId": "work_fra_1831_999", "originalName": "Roman", "countryCode": "FRA", "creators": [{"characterId": people[6]["id"], "relationType": 1}]}]
+    people[6]["ownWork"] = [{"workId": works[0]["workId"], "relationType": 1}]
+    with pytest.raises(I.ImportRefused) as refused:
+        load(spark, store, people, works)
+    assert refused.value.counts == {"gender": 1, "natural_key": 2, "country_unknown": 1, "work_unknown": 1, "relation_genre": 1}
+    assert {e[1][-3:] for e in refused.value.examples} == {"400", "401", "402", "403", "404", "999"} and store.snapshot() == before
+    (failed,) = [m for m in (store.manifest(r.name) for r in (tmp_path / "_runs").iterdir() if r.is_dir()) if m["status"] == "failed"]
+    assert "natural_key 2" in failed["error"]
 
 
 def test_deleted_rows_hold_no_natural_key(spark, tmp_path):
