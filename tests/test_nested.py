@@ -78,3 +78,20 @@ def test_assign_and_clear(spark):
 def test_empty_table(spark):
     none = N.leaves(table(spark, ["{}"]).limit(0), ["id"], "j", keeper(spark))
     assert none.count() == 0 and N.nested(none, ["id"], keeper(spark)).count() == 0
+
+
+def test_levels_are_opened_in_one_pass(spark):
+    kept, keep = [], keeper(spark)
+    rows = N.leaves(table(spark, ['{"a": {"b": {"c": [1]}}}']), ["id"], "j", lambda df: kept.append(df) or keep(df))
+    assert [r["json"] for r in rows.collect()] == ["1"] and len(kept) == 1
+
+
+def test_rows_are_dealt_over_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(N, "PER_TASK", 4)
+    docs, kept, keep = [{"v": {"a": i, "b": [i, 2]}} for i in range(20)], [], keeper(spark)
+    rows = N.leaves(table(spark, [json.dumps(d) for d in docs]), ["id"], "j", keep)
+    path = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(None).cast("int").alias("pos")) for k in "va"])
+    changed = N.assigned(rows, spark.range(20).select("id", path.alias("path"), F.lit("7").alias("json")), ["id"])
+    back = N.nested(changed, ["id"], lambda df: kept.append(df.rdd.getNumPartitions()) or keep(df))
+    assert {r["id"]: json.loads(r["json"]) for r in back.collect()} == {i: d | {"v": d["v"] | {"a": 7}} for i, d in enumerate(docs)}
+    assert kept[1:] == [10, 10, 5]  # 40 list items, 40 members, 20 values
