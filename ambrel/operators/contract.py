@@ -85,19 +85,30 @@ def suits_genre(relation: Column, genre: Column) -> Column:
     return relation.isin(1, 99) | F.coalesce(F.array_contains(F.try_element_at(genres, relation), genre), F.lit(False))
 
 
+def _repeats(keys: Column) -> Column:
+    """Whether a text occurs twice. Texts are hashed; an array of structs would be compared element by element with all others."""
+    return F.size(F.array_distinct(keys)) < F.size(keys)
+
+
+def numbered(df: DataFrame, key: str) -> DataFrame:
+    """Documents with __n, their place among those of their id, null without one; those that have it stay, so it can be kept."""
+    if "__n" in df.columns:
+        return df
+    id_ = _stripped(F.col(key))
+    return df.withColumn("__n", F.when(~_blank(F.col(key)), F.row_number().over(W.partitionBy(id_).orderBy("position"))))
+
+
 def _issues(df: DataFrame, kind: str, key: str, rules: dict[str, Column]) -> DataFrame:
     """One pass over the documents: what broke, exploded."""
-    df = df.withColumn(key, _stripped(F.col(key)))
-    numbered = df.withColumn("__n", F.when(~_blank(F.col(key)), F.row_number().over(W.partitionBy(key).orderBy("position"))))
+    df = numbered(df, key).withColumn(key, _stripped(F.col(key)))
     first = F.when(F.col("__n").isNull(), F.array(F.lit("missing_id"))).when(F.col("__n") > 1, F.array(F.lit("duplicate_id")))
     broken = F.array_compact(F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in rules.items()]))
-    return numbered.select(F.lit(kind).alias("entity_kind"), F.col(key).alias("entity_id"), F.explode(F.coalesce(first, broken)).alias("rule"))
+    return df.select(F.lit(kind).alias("entity_kind"), F.col(key).alias("entity_id"), F.explode(F.coalesce(first, broken)).alias("rule"))
 
 
 def _valid(df: DataFrame, key: str) -> DataFrame:
     """Documents with an id, of each id the first."""
-    n, df = F.row_number().over(W.partitionBy(key).orderBy("position")), df.withColumn(key, _stripped(F.col(key)))
-    return df.where(~_blank(F.col(key))).withColumn("__n", n).where("__n = 1").drop("__n")
+    return numbered(df, key).where("__n = 1").drop("__n").withColumn(key, _stripped(F.col(key)))
 
 
 def character_issues(characters: DataFrame, forbidden: str | None = PHRASES) -> DataFrame:
@@ -105,7 +116,7 @@ def character_issues(characters: DataFrame, forbidden: str | None = PHRASES) ->
     names = F.coalesce("names", F.array().cast("array<struct<language:int,name:string>>"))
     valid = F.filter(names, lambda n: _between(n["language"], 0, 3) & ~_blank(n["name"]))
     characters = characters.withColumn("__valid", valid).withColumn("__folded", nfkc_casefold_all(F.transform("__valid", lambda n: n["name"])))
-    clean = F.zip_with("__valid", "__folded", lambda n, folded: F.struct(n["language"], folded))
+    clean = F.zip_with("__valid", "__folded", lambda n, folded: F.concat_ws(":", n["language"], folded))
     standard = F.filter(F.transform("__valid", lambda n: n["language"]), lambda x: x.isin(0, 1, 2))
     year = lambda y: y.isNotNull() & ((y == 0) | ~y.between(-5000, 2100))
     parts = F.split("id", "_")
@@ -131,10 +142,10 @@ def character_issues(characters: DataFrame, forbidden: str | None = PHRASES) ->
         "names_empty": F.size(names) == 0,
         "name_language": F.exists(names, lambda n: ~_between(n["language"], 0, 3)),
         "name_blank": F.exists(names, lambda n: _blank(n["name"])),
-        "name_duplicate": F.size(F.array_distinct(clean)) < F.size(clean),
+        "name_duplicate": _repeats(clean),
         "name_standard_twice": F.size(F.array_distinct(standard)) < F.size(standard),
         "own_work_missing": c("ownWork").isNull(),
-        "own_work_duplicate": F.size(F.array_distinct(own)) < F.size(own),
+        "own_work_duplicate": _repeats(F.transform(own, lambda w: F.concat_ws(":", w["relationType"], w["workId"]))),
         "own_work_item": F.size(own) < F.size("ownWork"),
     }
     return _issues(characters, "character", "id", rules | _introduction(60, forbidden))
@@ -147,7 +158,7 @@ def work_issues(works: DataFrame, forbidden: str | None = PHRASES) -> DataFrame:
     creators = F.coalesce("creators", F.array().cast("array<struct<characterId:string,relationType:int,sortOrder:int>>"))
     orders = F.array_sort(F.transform(creators, lambda r: F.coalesce(r["sortOrder"], F.lit(0))))
     allowed = lambda r: suits_genre(r, c("genre"))
-    pairs = F.transform(creators, lambda r: F.struct(F.coalesce(_stripped(r["characterId"]), F.lit("")), r["relationType"]))
+    pairs = F.transform(creators, lambda r: F.concat_ws(":", F.coalesce(r["relationType"].cast("string"), F.lit("")), F.coalesce(_stripped(r["characterId"]), F.lit(""))))
     rules = {
         "id_pattern": ~c("workId").rlike(WORK_ID),
         "work_name": _blank(c("workName")),
@@ -163,7 +174,7 @@ def work_issues(works: DataFrame, forbidden: str | None = PHRASES) -> DataFrame:
         "relation_type": F.exists(creators, lambda r: ~_in(r["relationType"], RELATIONS)),
         "relation_genre": F.exists(creators, lambda r: _in(r["relationType"], RELATIONS) & ~allowed(r["relationType"])),
         "sort_order": (F.size(creators) > 0) & (orders != F.sequence(F.lit(0), F.greatest(F.size(creators) - 1, F.lit(0)))),
-        "creator_duplicate": F.size(F.array_distinct(pairs)) < F.size(pairs),
+        "creator_duplicate": _repeats(pairs),
         "primary_author": c("primaryAuthorId").isNotNull() & ~F.exists(creators, lambda r: (r["characterId"] == c("primaryAuthorId")) & (r["relationType"] == 1)),
     }
     return _issues(works, "work", "workId", rules | _introduction(40, forbidden))
@@ -175,8 +186,8 @@ def edge_issues(characters: DataFrame, works: DataFrame) -> DataFrame:
     by_work = works.select("workId", F.explode("creators").alias("r")).select("workId", F.col("r.characterId").alias("id"), F.col("r.relationType").alias("relationType"))
     lost = by_work.withColumn("id", F.coalesce(_stripped(F.col("id")), F.lit(""))).join(characters.select("id"), "id", "left_anti").select(F.lit("work").alias("entity_kind"), F.col("workId").alias("entity_id"), F.lit("creator_missing").alias("rule"))
     by_character = characters.select("id", F.explode("ownWork").alias("w")).select(F.col("w.workId").alias("workId"), "id", F.col("w.relationType").alias("relationType")).join(works.select("workId"), "workId", "left_semi")
-    sides = by_work.withColumn("s", F.lit(1)).unionByName(by_character.withColumn("s", F.lit(2))).groupBy("workId", "id", "relationType").agg(F.collect_set("s").alias("s")).where(F.size("s") == 1)
-    one = sides.select(F.lit("work").alias("entity_kind"), F.col("workId").alias("entity_id"), F.when(F.array_contains("s", 1), "edge_only_in_work").otherwise("edge_only_in_character").alias("rule"))
+    sides = by_work.withColumn("s", F.lit(1)).unionByName(by_character.withColumn("s", F.lit(2))).groupBy("workId", "id", "relationType").agg(F.min("s").alias("s"), F.max("s").alias("t")).where("s = t")
+    one = sides.select(F.lit("work").alias("entity_kind"), F.col("workId").alias("entity_id"), F.when(F.col("s") == 1, "edge_only_in_work").otherwise("edge_only_in_character").alias("rule"))
     return lost.unionByName(one)
 
 

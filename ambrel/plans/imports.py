@@ -40,7 +40,8 @@ def _documents(spark, d):
     suppliers, parts = table(spark, d, "supplier"), table(spark, d, "part")
     lines = table(spark, d, "lineitem").select(c("l_partkey").alias("p"), c("l_suppkey").alias("s")).distinct()
     edges = lines.join(suppliers.select(c("s_suppkey").alias("s"), (c("s_nationkey") < 13).alias("one")), "s")
-    edges = keeper(spark)(edges.join(edges.groupBy("p").agg(F.bool_or("one").alias("work_one")), "p").withColumn("rel", F.when((c("p") + c("s")) % 3 == 0, 99).otherwise(1)))
+    keep = keeper(spark)
+    edges = keep(edges.join(edges.groupBy("p").agg(F.bool_or("one").alias("work_one")), "p").withColumn("rel", F.when((c("p") + c("s")) % 3 == 0, 99).otherwise(1)))
     own = edges.groupBy("s").agg(F.sort_array(F.collect_list(F.struct("p", "rel"))).alias("own"))
     k = c("s_suppkey")
     name = lambda lang, text: F.struct(F.lit(lang).alias("language"), text.alias("name"))
@@ -58,27 +59,27 @@ def _documents(spark, d):
         (1 + q % 2000).cast("int").alias("year"), F.when(q % 3 != 0, _code(q % 25)).alias("countryCode"), F.lit("y" * 40).alias("introduction"), F.lit(None).cast("string").alias("primaryAuthorId"),
         F.transform("makers", lambda x, i: F.struct(_person_id(x["s"]).alias("characterId"), x["rel"].alias("relationType"), i.cast("int").alias("sortOrder"))).alias("creators"), q.cast("long").alias("position"),
     )
-    return people, works, edges
+    return keep(people), keep(works), edges
 
 
 def _loaded(spark, d):
-    """A store with both batches, made once a session, and its runs."""
+    """A store with both batches, made once a session, its runs, and the documents."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _stores:
-        people, works, _ = _documents(spark, d)
+        documents = people, works, _ = _documents(spark, d)
         store = Store(spark, new_place(spark, "store"))
         nations = table(spark, d, "nation")
         I.create(store, nations.select(F.col("n_nationkey").cast("int").alias("id"), _code(F.col("n_nationkey")).alias("code")))
         part = lambda df, one: df.where(F.col("one") if one else ~F.col("one")).drop("one")
         runs = [I.import_batch(store, f"batch{i}", part(people, one), part(works, one)) for i, one in ((1, True), (2, False))]
-        _stores[key] = store, runs
+        _stores[key] = store, runs, documents
     return _stores[key]
 
 
 @query(_EDGES + " SELECT p AS l_partkey, s AS l_suppkey, CASE WHEN (p + s) % 3 = 0 THEN 99 ELSE 1 END AS relation_type, (row_number() OVER (PARTITION BY p ORDER BY one <> work_one, s) - 1)::INTEGER AS sort_order FROM r")
 def batch_import(spark, d):
     """Relations as they stand after two imports: creators in their own order, those of the later batch behind them."""
-    store, _ = _loaded(spark, d)
+    store, _, _ = _loaded(spark, d)
     c = F.col
     parts = table(spark, d, "part").select("p_partkey", I.stable_id("work", _work_id(c("p_partkey"))).alias("work_id"))
     people = table(spark, d, "supplier").select("s_suppkey", I.stable_id("character", _person_id(c("s_suppkey"))).alias("character_id"))
@@ -98,7 +99,7 @@ SELECT one, 'work_creator', count(*) FROM r GROUP BY 1) USING (one, name)"""
        "UNION ALL SELECT b, 'passed', 'passed', 1 FROM (SELECT unnest([1, 2]) AS b)")
 def import_status(spark, d):
     """What the status of either run says: rows there and missing, all checks, passed."""
-    store, runs = _loaded(spark, d)
+    store, runs, _ = _loaded(spark, d)
     kind = F.when(F.col("kind") == "passed", "passed").otherwise(F.col("name"))
     parts = [I.run_status(store, run["run"]).select(F.lit(i + 1).alias("batch"), "kind", kind.alias("name"), "n") for i, run in enumerate(runs)]
     return parts[0].union(parts[1])
@@ -109,8 +110,7 @@ SELECT * FROM (SELECT 'natural_key' AS problem, 2 * (SELECT count(*) FROM new) A
 SELECT 'work_unknown', (SELECT count(*) FROM new) UNION ALL SELECT 'relation_genre', (SELECT count(*) FROM e JOIN new USING (s) WHERE 1 + p % 8 <> 3)) WHERE n > 0""")
 def import_refused(spark, d):
     """Suppliers of every other nation under new ids, with relations to works that are there and to one that isn't: what speaks against it."""
-    store, _ = _loaded(spark, d)
-    people, works, edges = _documents(spark, d)
+    store, _, (people, works, _) = _loaded(spark, d)
     k = F.col("position")
     suppliers = table(spark, d, "supplier").where("s_nationkey % 2 = 0").select(F.col("s_suppkey").cast("long").alias("position"))
     item = lambda w, r: F.struct(w.alias("workId"), F.lit(r).alias("relationType"))
@@ -119,5 +119,5 @@ def import_refused(spark, d):
         "ownWork": F.concat(F.transform("ownWork", lambda w: item(w["workId"], 14)), F.array(item(F.lit("work_abc_0_000"), 1))),
     })
     snapshot = store.snapshot()[1]
-    found = I.problems(again.drop("one"), works.drop("one").limit(0), lambda t: store._at(snapshot, t))
+    found = I.problems(*I.kept_documents(again.drop("one"), works.drop("one").limit(0), keeper(spark)), lambda t: store._at(snapshot, t))
     return found.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))

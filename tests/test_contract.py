@@ -82,3 +82,15 @@ def test_creators_ids_are_stripped(spark):
     work = NOVEL | {"creators": [{"characterId": " realCharacter_fra_1802_300 ", "relationType": 1}, {"characterId": "realCharacter_fra_1802_300", "relationType": 1, "sortOrder": 1}]}
     found = {r["rule"] for r in contract.issues(documents(spark, [author], contract.CHARACTER), documents(spark, [work], contract.WORK)).collect()}
     assert "creator_missing" not in found and "creator_duplicate" in found
+
+
+def test_long_lists_of_own_works(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    n = 60_000  # compared with one another these take minutes
+    own = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(F.concat(F.lit("w"), F.greatest(i, F.lit(2)).cast("string")).alias("workId"), F.lit(1).alias("relationType")))
+    people = documents(spark, [PAINTER], contract.CHARACTER).withColumn("ownWork", own)
+    began = time.time()
+    assert "own_work_duplicate" in {r["rule"] for r in contract.character_issues(people).collect()} and time.time() - began < 20

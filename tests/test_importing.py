@@ -135,3 +135,11 @@ def test_put_new_never_replaces(spark, tmp_path):
 
     assert runs.put_new(spark, f"{tmp_path}/a.json", {"x": 1}) and not runs.put_new(spark, f"{tmp_path}/a.json", {"x": 2})
     assert json.loads((tmp_path / "a.json").read_text()) == {"x": 1} and runs.names_in(spark, str(tmp_path)) == ["a.json"]
+
+
+def test_documents_are_computed_once(spark, tmp_path):
+    store, seen = new_store(spark, tmp_path), spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: (seen.add(1), x)[1], "string").asNondeterministic()
+    people, works = documents(spark, [AUTHOR], contract.CHARACTER), documents(spark, [TALE], contract.WORK)
+    I.import_batch(store, "x", people.withColumn("introduction", count("introduction")), works.withColumn("introduction", count("introduction")))
+    assert seen.value == 2 and store.read("work").count() == 1
