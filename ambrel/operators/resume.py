@@ -11,16 +11,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources.scratch import keeper
 
-def progress(items: DataFrame, done: DataFrame, by: str = "set") -> DataFrame:
-    """``items`` (set, id, position) with is_done, processed and remaining up to each, and next_id: the first later one that is not done."""
+
+def progress(items: DataFrame, done: DataFrame, by: str = "set", keep=None) -> DataFrame:
+    """``items`` (set, id, position) with is_done, processed and remaining up to each, and next_id: the first later one that is not done.
+
+    Items are dealt in order over tasks, each counts its own stretch of a set, and the stretches' sums are added: a set may be
+    of any size.
+    """
+    c, last = F.col, lambda x: F.last(x, ignorenulls=True)
     flagged = items.join(done.select("id").distinct().withColumn("is_done", F.lit(True)), "id", "left").withColumn("is_done", F.coalesce("is_done", F.lit(False)))
-    order = W.partitionBy(by).orderBy("position", "id")
-    upto, later = order.rowsBetween(W.unboundedPreceding, W.currentRow), order.rowsBetween(1, W.unboundedFollowing)
-    left = F.when(~F.col("is_done"), F.col("id"))
-    processed = F.sum(F.col("is_done").cast("long")).over(upto)
-    total = F.count(F.lit(1)).over(W.partitionBy(by))
-    return flagged.select(*items.columns, "is_done", processed.alias("processed"), (total - processed).alias("remaining"), F.first(left, ignorenulls=True).over(later).alias("next_id"))
+    ordered = flagged.repartitionByRange(by, "position", "id").withColumn("__at", F.spark_partition_id())
+    ordered = (keep or keeper(items.sparkSession))(ordered)
+    left = F.when(~c("is_done"), c("id"))
+    # what comes later is what came before in the reverse order: a frame that ends at the last row is read anew for each row
+    before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    parts = ordered.groupBy(by, "__at").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_done").alias("k"), F.min(F.when(left.isNotNull(), F.struct("position", "id")))["id"].alias("first"))
+    of_set = W.partitionBy(by)
+    parts = parts.select(by, "__at", F.coalesce(F.sum("k").over(before(of_set.orderBy("__at"))), F.lit(0)).alias("__k"), F.sum("n").over(of_set).alias("__n"), last("first").over(before(of_set.orderBy(F.desc("__at")))).alias("__next"))
+    within = W.partitionBy(by, "__at")
+    processed = F.sum(c("is_done").cast("long")).over(within.orderBy("position", "id").rowsBetween(W.unboundedPreceding, W.currentRow))
+    later = last(left).over(before(within.orderBy(F.desc("position"), F.desc("id"))))
+    rows = ordered.select("*", processed.alias("__processed"), later.alias("__later"))
+    rows = rows.withColumn("__set", F.struct(by)).join(parts.select(F.struct(by).alias("__set"), "__at", "__k", "__n", "__next"), ["__set", "__at"])
+    done_now = c("__k") + c("__processed")
+    return rows.select(*items.columns, "is_done", done_now.alias("processed"), (c("__n") - done_now).alias("remaining"), F.coalesce("__later", "__next").alias("next_id"))
 
 
 def remaining(items: DataFrame, done: DataFrame, most: int | None = None, by: str = "set") -> DataFrame:

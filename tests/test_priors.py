@@ -139,3 +139,22 @@ def test_sync(spark):
     named = Y.catalogue_names(spark.createDataFrame([("p.g.love", "p.g", "v1"), ("p.g.odd", "p.h", "v1")], "code string, group_code string, version string"), spark.createDataFrame([("p.g.love", "爱"), ("p.g", "组")], "code string, name string"), ": one")
     rows = {r["code"]: (r["name_local"], r["name_en"], r["description"], r["version"]) for r in named.collect()}
     assert rows == {"p.g.love": ("爱", "love", "组: one", "v1"), "p.g.odd": ("odd", "odd", "p.h: one", "v1")} and [r["code"] for r in Y.untranslated(named).collect()] == ["p.g.odd"]
+
+
+def test_progress_of_large_sets_in_stretches(spark):
+    items = spark.range(3000).selectExpr("if(id % 3 = 2, null, id % 3) as set", "id", "(id * 7919) % 3001 as position").repartition(8)
+    done = spark.range(0, 3000, 4).union(spark.range(2000, 3000)).distinct()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that few rows are dealt over tasks too
+    try:
+        rows = U.progress(items, done)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert "1, unboundedfollowing" not in rows._jdf.queryExecution().toString().lower()
+    at = {r["id"]: r for r in rows.collect()}
+    for s in (0, 1, 2):
+        ids = sorted(range(s, 3000, 3), key=lambda i: (i * 7919) % 3001)
+        is_done = [i % 4 == 0 or i >= 2000 for i in ids]
+        k, coming = sum(is_done), None
+        for i, d in zip(reversed(ids), reversed(is_done)):
+            assert tuple(at[i][x] for x in ("is_done", "processed", "remaining", "next_id")) == (d, k, 1000 - k, coming)
+            k, coming = k - d, coming if d else i
