@@ -60,8 +60,8 @@ def match_counts(refs: DataFrame, targets: DataFrame, ref: str, names: list[str]
 
 def set_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows only on either side, counted in one pass: left_only, right_only and both."""
-    marked = left.distinct().withColumn("__s", F.lit(1)).union(right.distinct().withColumn("__s", F.lit(2)))
-    sides = marked.groupBy(*left.columns).agg(F.sum("__s").alias("__s"))
+    marked = left.withColumn("__s", F.lit(1)).union(right.withColumn("__s", F.lit(2)))
+    sides = marked.groupBy(*left.columns).agg(F.bit_or("__s").alias("__s"))
     n = lambda v: F.count_if(F.col("__s") == v)
     return sides.agg(n(1).alias("left_only"), n(2).alias("right_only"), n(3).alias("both"))
 

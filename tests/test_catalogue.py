@@ -57,3 +57,12 @@ def test_distinct_stream_loses_no_row_of_any_batch(spark, tmp_path):
         stream = events.files(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, per_batch=1)
         events.append_available(events.distinct(stream.select("id"), ["id"]), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     assert sorted(str(r["id"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["1", "2", "3", "4", "5", "9", "None"]
+
+
+def test_set_differences_in_one_shuffle(spark):
+    from ambrel.operators.relational import set_differences
+
+    rows = lambda *ks: spark.createDataFrame([(k, 0) for k in ks], "a int, b int")
+    found = set_differences(rows(1, 1, 2, None), rows(2, 2, 3, 4, None))
+    assert tuple(found.first()) == (1, 2, 2)
+    assert found._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") <= 4  # by row and over all, in part and whole
