@@ -32,7 +32,7 @@ def linked_by(names: DataFrame, name: str, key: Column, strategy: str) -> DataFr
     """(strategy, a, b): each name of a key with the least of them; groups of one give none, null and empty keys neither."""
     keyed = names.select(F.col(name).alias("b"), key.alias("k")).where("b is not null and k <> ''").distinct()
     least = keyed.groupBy("k").agg(F.min("b").alias("a"))
-    return keyed.join(least, "k").where("a <> b").select(F.lit(strategy).alias("strategy"), "a", "b")
+    return keyed.join(least.hint("merge"), "k").where("a <> b").select(F.lit(strategy).alias("strategy"), "a", "b")
 
 
 def contained(names: DataFrame, name: str, least: int = 2) -> DataFrame:
@@ -49,15 +49,16 @@ def components(links: DataFrame, keep) -> DataFrame:
     """(node, component): the least node that links reach; ``keep`` writes a round's labels and cuts lineage.
 
     Min-label propagation with a jump (a label takes its own label's label), so rounds grow with the logarithm of a chain.
+    Labels are joined by key alone, never broadcast: every round would send them to the driver.
     """
     both = keep(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
     labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")))
     while True:
-        offers = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "component")
+        offers = both.join(labels.withColumnRenamed("node", "b").hint("merge"), "b").select(F.col("a").alias("node"), "component")
         near = labels.union(offers).groupBy("node").agg(F.min("component").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        following = keep(near.join(jump, "component", "left").select("node", F.least("component", "further").alias("component")))
-        changed = following.alias("n").join(labels.alias("o"), "node").where("n.component <> o.component").limit(1).count()
+        following = keep(near.join(jump.hint("merge"), "component", "left").select("node", F.least("component", "further").alias("component")))
+        changed = following.alias("n").join(labels.alias("o").hint("merge"), "node").where("n.component <> o.component").limit(1).count()
         labels = following
         if not changed:
             return labels

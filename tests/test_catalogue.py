@@ -66,3 +66,14 @@ def test_set_differences_in_one_shuffle(spark):
     found = set_differences(rows(1, 1, 2, None), rows(2, 2, 3, 4, None))
     assert tuple(found.first()) == (1, 2, 2)
     assert found._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") <= 4  # by row and over all, in part and whole
+
+
+def test_components_send_no_labels_to_the_driver(spark):
+    from ambrel.operators.names import components
+    from ambrel.sources.scratch import keeper
+
+    plans, keep = [], keeper(spark)
+    links = spark.createDataFrame([(1, 2), (2, 3), (5, 6)], "a long, b long")
+    found = components(links, lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    assert {tuple(r) for r in found.collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)}
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
