@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.scalar import stable_id
+from ..sources.scratch import keeper
 from . import contract
 from . import relational as R
-from .importing import _codes, _problem, _shaped, refuse_if_any, tables_of
+from .importing import _codes, _problem, _shaped, kept_documents, refuse_if_any, tables_of
 from .runs import Change, Store, digest_of
 
 RELATION = """position long, characterRef struct<newId:string,name:string,countryCode:string,field:int>, workRef struct<newId:string,workName:string,countryCode:string,genre:int,year:int>,
@@ -86,21 +87,20 @@ def matched(relations: DataFrame, characters: DataFrame, works: DataFrame, read)
     return out.join(by_id, "wid", "left").withColumn("genre", F.coalesce("new_genre", "there_genre")).drop("new_genre", "there_genre")
 
 
-def problems(characters: DataFrame, works: DataFrame, relations: DataFrame, read) -> DataFrame:
-    """(entity_kind, entity_id, problem, detail): all that speaks against the patch."""
+def problems(characters: DataFrame, works: DataFrame, relations: DataFrame, read, found: DataFrame | None = None) -> DataFrame:
+    """(entity_kind, entity_id, problem, detail): all that speaks against the patch; ``found`` are the relations as matched(), if they are there."""
     c = F.col
-    entity = F.concat_ws(" ", F.lit("relation"), "position")
-    found = matched(relations, characters, works, read)
-    of = lambda cond, problem, detail: _problem(found.where(cond), "relation", entity, problem, detail)
+    found = matched(relations, characters, works, read) if found is None else found
+    told = lambda cond, problem, detail: F.when(cond, F.struct(problem.alias("problem"), detail.cast("string").alias("detail")))
     whole = (c("character_problem").isNull()) & c("work_problem").isNull()
     outside = ~F.coalesce(c("relationType").between(1, 99), F.lit(False))
     bound = c("relationType").isin(*contract.RELATION_GENRES)
-    parts = [
-        found.where("character_problem is not null").select(F.lit("relation").alias("entity_kind"), entity.alias("entity_id"), c("character_problem").alias("problem"), F.to_json("characterRef").alias("detail")),
-        found.where("work_problem is not null").select(F.lit("relation"), entity, "work_problem", F.to_json("workRef")),
-        of(outside, "relation_type", c("relationType")),
-        of(whole & ~outside & bound & ~contract.suits_genre(c("relationType"), c("genre")), "relation_genre", F.concat_ws("/", "relationType", "genre")),
-    ]
+    of_relation = [
+        told(c("character_problem").isNotNull(), c("character_problem"), F.to_json("characterRef")), told(c("work_problem").isNotNull(), c("work_problem"), F.to_json("workRef")), told(outside, F.lit("relation_type"), c("relationType")),
+        told(whole & ~outside & bound & ~contract.suits_genre(c("relationType"), c("genre")), F.lit("relation_genre"), F.concat_ws("/", "relationType", "genre")),
+    ]
+    spoken = found.select(F.concat_ws(" ", F.lit("relation"), "position").alias("entity_id"), F.explode(F.array_compact(F.array(*of_relation))).alias("x"))  # matched once for all
+    parts = [spoken.select(F.lit("relation").alias("entity_kind"), "entity_id", "x.problem", "x.detail")]
     for df, kind, key in ((characters, "character", "id"), (works, "work", "workId")):
         ids = df.select(F.coalesce(contract._stripped(c(key)), F.lit("")).alias("id"), "countryCode")
         parts.append(_problem(ids.where("id = ''"), kind, c("id"), "missing_id", F.lit(None)))
@@ -110,12 +110,18 @@ def problems(characters: DataFrame, works: DataFrame, relations: DataFrame, read
 
 
 def apply_patch(store: Store, name: str, characters: DataFrame, works: DataFrame, relations: DataFrame, creator: int = 1) -> dict:
-    """Apply the patch as one run, or raise ImportRefused and write nothing; the run's manifest with ``result``."""
+    """Apply the patch as one run, or raise ImportRefused and write nothing; the run's manifest with ``result``.
+
+    The patch is computed once and kept, and so are its relations as they match the store of the moment.
+    """
+    keep = keeper(store.spark)
+    characters, works = kept_documents(characters, works, keep)
+    relations = keep(relations)
 
     def changes(read):
-        refuse_if_any(problems(characters, works, relations, read))
+        found = keep(matched(relations, characters, works, read))
+        refuse_if_any(problems(characters, works, relations, read, found))
         rows, c = tables_of(characters, works, read("country"), creator), F.col
-        found = matched(relations, characters, works, read)
         last = lambda df, by: df.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy(F.desc("position")))).where("__r = 1").drop("__r")
         edges = last(found, ["wid", "cid", "relationType"])
         edges = edges.select(stable_id("work-creator-db", F.concat_ws(":", "wid", "cid", "relationType")).alias("id"), c("wid").alias("work_id"), c("cid").alias("character_id"), c("relationType").alias("relation_type"), F.coalesce("sortOrder", F.lit(0)).alias("sort_order"), F.lit(creator).alias("creator"))
@@ -127,5 +133,5 @@ def apply_patch(store: Store, name: str, characters: DataFrame, works: DataFrame
         rows = rows | {"work": of_works, "work_creator": _shaped(edges, "work_creator")}
         return {t: Change(df, "id", ASSIGNED.get(t)) for t, df in rows.items()}
 
-    run = store.load(name, changes, inputs=digest_of(characters, works, relations))
+    run = store.load(name, changes, inputs=digest_of(characters.drop("__n"), works.drop("__n"), relations))
     return store._mark(run, run["status"], result={"newCharacters": characters.count(), "newWorks": works.count(), "relations": relations.count()})

@@ -72,7 +72,7 @@ def tables_of(characters: DataFrame, works: DataFrame, country: DataFrame, creat
     names = people.select("id", F.posexplode("names").alias("order", "n"))
     tags = F.coalesce("subcategories", F.when(c("subcategory").isNotNull(), F.array("subcategory")), F.array().cast("array<int>"))
     work_id = stable_id("work", c("workId"))
-    creators = pieces.select("workId", F.explode("creators").alias("r")).select("workId", _names(c("r.characterId")).alias("cid"), c("r.relationType").alias("rel"), F.coalesce("r.sortOrder", F.lit(0)).alias("sort_order"))
+    creators = pieces.select("workId", work_id.alias("work_id"), "creators").select("workId", "work_id", F.explode("creators").alias("r")).select("workId", "work_id", _names(c("r.characterId")).alias("cid"), c("r.relationType").alias("rel"), F.coalesce("r.sortOrder", F.lit(0)).alias("sort_order"))
     own = pieces.select("workId", "subcategory", F.posexplode(tags).alias("sort_order", "tag"))
     empty = lambda x: F.when(c(x) != "", c(x))
     out = {
@@ -80,7 +80,7 @@ def tables_of(characters: DataFrame, works: DataFrame, country: DataFrame, creat
         "character_name": names.select(stable_id("character-name", F.concat_ws(":", "id", "order")).alias("id"), _names(c("n.name")).alias("character_name"), person.alias("character_info_id"), F.lit(0).alias("top"), c("n.language").alias("language"), by, live),
         "real_attribute": people.select(stable_id("real-attribute", c("id")).alias("id"), person.alias("character_info_id"), c("beginCentury").alias("begin_century"), c("endCentury").alias("end_century"), "country_id", F.coalesce("field", F.lit(0)).alias("field"), c("realSubType").alias("sub_type"), "dynasty", c("creativeEntityType").alias("creative_entity_type"), by, live),
         "work": pieces.select(work_id.alias("id"), _names(c("workName")).alias("work_name"), empty("originalName").alias("original_name"), "genre", "subcategory", "year", "country_id", stable_id("character", c("primaryAuthorId")).alias("auth_character_id"), empty("introduction").alias("introduction"), by, live),
-        "work_creator": creators.select(stable_id("work-creator", F.concat_ws(":", "workId", "cid", "rel")).alias("id"), work_id.alias("work_id"), stable_id("character", c("cid")).alias("character_id"), c("rel").alias("relation_type"), "sort_order", by),
+        "work_creator": creators.select(stable_id("work-creator", F.concat_ws(":", "workId", "cid", "rel")).alias("id"), "work_id", stable_id("character", c("cid")).alias("character_id"), c("rel").alias("relation_type"), "sort_order", by),
         "work_subcategory": own.select(stable_id("work-subcategory", F.concat_ws(":", "workId", "tag")).alias("id"), work_id.alias("work_id"), c("tag").alias("subcategory"), (c("tag") == c("subcategory")).cast("int").alias("is_primary"), "sort_order", by),
     }
     return {t: _shaped(df, t) for t, df in out.items()}

@@ -107,10 +107,13 @@ class Change:
     parent: str | None = None
     parents: DataFrame | None = None
 
-    def applied(self, old: DataFrame) -> DataFrame:
-        kept = old if self.parent is None else old.join(self.parents.select(self.parent).distinct(), self.parent, "left_anti").select(*old.columns)
-        rows = self.rows.select(*old.columns)
-        return kept.unionByName(rows) if self.key is None else R.upsert(kept, rows, self.key, self.columns or old.columns)
+    def applied(self, old: DataFrame, before: DataFrame) -> DataFrame:
+        """The table after the change; ``before`` has its rows that the change may alter. Only these are matched with the new ones."""
+        kept, rows = _untouched(old, self.touched()), self.rows.select(*old.columns)
+        if self.key is None:
+            return kept.unionByName(rows)
+        mine = before if self.parent is None else before.join(self.parents.select(self.parent).distinct(), self.parent, "left_anti").select(*old.columns)
+        return kept.unionByName(R.upsert(mine, rows, self.key, self.columns or old.columns))
 
     def touched(self) -> dict[str, DataFrame]:
         """Column -> its values in rows that the change may alter."""
@@ -254,7 +257,8 @@ class Store:
             _at_once(jobs)
             kept = {t: self._change(at) for t, at in m["tables"].items()}
             _at_once([lambda t=t, c=c: _touched(old[t], c.touched()).write.parquet(home(t, "before")) for t, c in kept.items()])
-            out = {t: c.applied(old[t]).select(*old[t].columns) for t, c in kept.items()}
+            before = {t: self.spark.read.schema(old[t].schema).parquet(home(t, "before")) for t in kept}
+            out = {t: c.applied(old[t], before[t]).select(*old[t].columns) for t, c in kept.items()}
             m = self._mark(m, "snapshotted")
             return out
 

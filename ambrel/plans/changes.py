@@ -13,15 +13,17 @@ from ..operators.runs import Store
 from ..sources.scratch import keeper, new_place
 from ..sources.tables import table
 from .catalogue import query
-from .imports import _EDGES, _code, _documents, _person_id, _work_id
+from .imports import _EDGES, _code, _edges, _people, _person_id, _work_id, _works
 
 
 def _entities(spark, d):
-    """A store of all suppliers and the parts they deliver."""
-    people, works, _ = _documents(spark, d)
+    """A store of all suppliers and the parts they deliver; relations are the works' own, so nobody's own works are listed."""
+    none = F.lit(None).cast("array<struct<p:long,rel:int>>")
+    people, works = _people(table(spark, d, "supplier").withColumn("own", none)), _works(table(spark, d, "part"), _edges(spark, d))
+    people, works = I.kept_documents(people.drop("one"), works.drop("one"), keeper(spark))
     store = Store(spark, new_place(spark, "store"))
     country = table(spark, d, "nation").select(F.col("n_nationkey").cast("int").alias("id"), _code(F.col("n_nationkey")).alias("code"))
-    rows = I.tables_of(people.drop("one"), works.drop("one"), country, 1)
+    rows = I.tables_of(people, works, country, 1)
     store.commit(lambda read: rows | {"country": country})
     return store
 
@@ -78,7 +80,7 @@ def patch_apply(spark, d):
     relations = _relations(parts, {"newId": new_id(1 + k % c("top"))}, _work_ref(k), F.lit(99))
     snapshot = store.snapshot()[1]
     good = P.matched(relations, people, _none(spark, C.WORK), lambda t: store._at(snapshot, t)).where("character_problem is null and work_problem is null").select(*relations.columns)
-    P.apply_patch(store, "patch", people, _none(spark, C.WORK), keeper(spark)(good))
+    P.apply_patch(store, "patch", people, _none(spark, C.WORK), good)
     works = table(spark, d, "part").select("p_partkey", I.stable_id("work", _work_id(k)).alias("work_id"))
     keys = customers.select(c("c_custkey").alias("key"), I.stable_id("character", new_id(c("c_custkey"))).alias("character_id"))
     author = store.read("work").select(c("id").alias("work_id"), c("auth_character_id").alias("author"))

@@ -34,32 +34,45 @@ def _work_id(k):
     return F.concat(F.lit("work_abc_"), (1 + F.floor(k / 1000)).cast("string"), F.lit("_"), F.lpad((k % 1000).cast("string"), 3, "0"))
 
 
-def _documents(spark, d):
-    """Characters and works of either batch, and the edges (p, s, one, work_one, rel)."""
+def _edges(spark, d):
+    """Who delivers what: (p, s, one, work_one, rel), each pair once."""
     c = F.col
-    suppliers, parts = table(spark, d, "supplier"), table(spark, d, "part")
     lines = table(spark, d, "lineitem").select(c("l_partkey").alias("p"), c("l_suppkey").alias("s")).distinct()
-    edges = lines.join(suppliers.select(c("s_suppkey").alias("s"), (c("s_nationkey") < 13).alias("one")), "s")
-    keep = keeper(spark)
-    edges = keep(edges.join(edges.groupBy("p").agg(F.bool_or("one").alias("work_one")), "p").withColumn("rel", F.when((c("p") + c("s")) % 3 == 0, 99).otherwise(1)))
-    own = edges.groupBy("s").agg(F.sort_array(F.collect_list(F.struct("p", "rel"))).alias("own"))
-    k = c("s_suppkey")
+    edges = lines.join(table(spark, d, "supplier").select(c("s_suppkey").alias("s"), (c("s_nationkey") < 13).alias("one")), "s")
+    return edges.withColumns({"work_one": F.bool_or("one").over(W.partitionBy("p")), "rel": F.when((c("p") + c("s")) % 3 == 0, 99).otherwise(1)})
+
+
+def _people(suppliers):
+    """Suppliers as characters; their own works are those of the column ``own``."""
+    c, k = F.col, F.col("s_suppkey")
     name = lambda lang, text: F.struct(F.lit(lang).alias("language"), text.alias("name"))
-    people = suppliers.join(own, suppliers["s_suppkey"] == own["s"], "left").select(
+    return suppliers.select(
         (c("s_nationkey") < 13).alias("one"), _person_id(k).alias("id"), F.lit(1).alias("characterType"), F.lit(1).alias("realSubType"), F.lit(1).alias("creativeEntityType"), (k % 4).cast("int").alias("gender"),
         _code(c("s_nationkey")).alias("countryCode"), (k % 9).cast("int").alias("field"), F.lit(None).cast("int").alias("dynasty"), (1000 + F.floor(k / 1000)).cast("int").alias("beginCentury"), (1050 + F.floor(k / 1000)).cast("int").alias("endCentury"),
         F.array(name(0, c("s_name")), name(1, F.concat("s_name", F.lit(" en")))).alias("names"), F.lit("x" * 60).alias("introduction"),
         F.transform(F.coalesce("own", F.array().cast("array<struct<p:long,rel:int>>")), lambda x: F.struct(_work_id(x["p"]).alias("workId"), x["rel"].alias("relationType"))).alias("ownWork"), k.cast("long").alias("position"),
     )
+
+
+def _works(parts, edges):
+    """Parts that are delivered as works, with their makers of the same batch."""
+    c = F.col
     makers = edges.where("one = work_one").groupBy("p", "work_one").agg(F.sort_array(F.collect_list(F.struct("s", "rel"))).alias("makers"))
     q, genre = c("p_partkey"), (1 + c("p_partkey") % 8).cast("int")
     first, second = genre * 1000 + 1 + (q % 5).cast("int"), genre * 1000 + 6
-    works = parts.join(makers, parts["p_partkey"] == makers["p"]).select(
+    return parts.join(makers, parts["p_partkey"] == makers["p"]).select(
         c("work_one").alias("one"), _work_id(q).alias("workId"), c("p_name").alias("workName"), F.lit(None).cast("string").alias("originalName"), genre.alias("genre"), first.alias("subcategory"), F.array(first, second).alias("subcategories"),
         (1 + q % 2000).cast("int").alias("year"), F.when(q % 3 != 0, _code(q % 25)).alias("countryCode"), F.lit("y" * 40).alias("introduction"), F.lit(None).cast("string").alias("primaryAuthorId"),
         F.transform("makers", lambda x, i: F.struct(_person_id(x["s"]).alias("characterId"), x["rel"].alias("relationType"), i.cast("int").alias("sortOrder"))).alias("creators"), q.cast("long").alias("position"),
     )
-    return keep(people), keep(works), edges
+
+
+def _documents(spark, d):
+    """Characters and works of either batch, and the edges between them."""
+    keep = keeper(spark)
+    edges = keep(_edges(spark, d))
+    own = edges.groupBy(F.col("s").alias("s_suppkey")).agg(F.sort_array(F.collect_list(F.struct("p", "rel"))).alias("own"))
+    return keep(_people(table(spark, d, "supplier").join(own, "s_suppkey", "left"))), keep(_works(table(spark, d, "part"), edges)), edges
 
 
 def _loaded(spark, d):

@@ -8,7 +8,7 @@ from ambrel.operators import deletes as D
 from ambrel.operators import enrichment as P
 from ambrel.operators import enums as E
 from ambrel.operators import importing as I
-from ambrel.operators.runs import Store
+from ambrel.operators.runs import Change, Store
 from ambrel.sources.scratch import keeper
 from tests.test_contract import documents
 from tests.test_importing import AUTHOR, TALE, load, new_store
@@ -61,6 +61,27 @@ def test_refused_patch_writes_nothing(spark, tmp_path):
     assert refused.value.counts == {"character_many": 1, "duplicate_id": 1, "missing_id": 1, "country_unknown": 1} and store.snapshot() == before
 
 
+def test_patch_is_matched_once(spark, tmp_path, monkeypatch):
+    store, calls, whole = new_store(spark, tmp_path), [], P.matched
+    load(spark, store, [AUTHOR], [TALE])
+    monkeypatch.setattr(P, "matched", lambda *a: calls.append(1) or whole(*a))
+    known, work = {"name": "Author", "countryCode": "FRA", "field": 2}, {"workName": "A novel", "countryCode": "FRA", "genre": 1, "year": 1831}
+    P.apply_patch(store, "p", *patch(spark, store, [(known, work, 9, 4, True)]))
+    assert len(calls) == 1 and store.read("work_creator").count() == 2
+
+
+def test_load_shuffles_no_table_for_a_small_change(spark, tmp_path):
+    store, plans, write = Store(spark, str(tmp_path)), [], Change.applied
+    store.commit(lambda read: {"t": spark.range(50).union(spark.createDataFrame([(None,)], "id long")).selectExpr("id", "'old' as v")})
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(Change, "applied", lambda *a: (plans.append(write(*a)), plans[-1])[1])
+        store.load("x", {"t": Change(spark.range(49, 52).selectExpr("id", "'new' as v"), "id")})
+    plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("FullOuter") == 1
+    got = {(r["id"], r["v"]) for r in store.read("t").collect()}
+    assert got == {(i, "old") for i in range(49)} | {(i, "new") for i in (49, 50, 51)} | {(None, "old")}  # a row without key stays as it was
+
+
 REFERENCES = [("b", "a_id", "a"), ("c", "b_id", "b"), ("c", "a_id", "a"), ("b", "b_id", "b"), ("d", "x", "other")]
 
 
