@@ -72,17 +72,27 @@ def _told(ids: dict[str, DataFrame]) -> dict[str, int]:
     return {r["table"]: r["n"] for r in counts(lambda t: ids[t], ids).collect()}
 
 
-def cascade(store: Store, table: str, ids: DataFrame, references: list[Reference], keep, execute: bool = False) -> dict:
-    """Rows by table that go with the rows ``ids`` of ``table``; they do go, as the run ``run``, only if told to ``execute``."""
+def cascade(store: Store, table: str, ids: DataFrame, references: list[Reference], keep, execute: bool = False, known: dict | None = None) -> dict:
+    """Rows by table that go with the rows ``ids`` of ``table``; they do go, as the run ``run``, only if told to ``execute``.
+
+    ``known``, a dict given to a dry run and then to the same delete, keeps what was found; it is used if no table has changed.
+    """
+    tables = referring(references, {table})
     if not execute:
         snapshot = store.snapshot()[1]
-        return {"dryRun": True, "rows": _told(doomed(lambda t: store._at(snapshot, t), table, ids, references, keep))}
+        gone = doomed(lambda t: store._at(snapshot, t), table, ids, references, keep)
+        rows = _told(gone)
+        if known is not None:
+            known.update(at={t: snapshot[t] for t in tables}, gone=gone, rows=rows)
+        return {"dryRun": True, "rows": dict(rows)}
     rows = {}
 
     def changes(read):
-        gone = doomed(read, table, ids, references, keep)
+        now = store.snapshot()[1]  # never older than what ``read`` reads
+        same = bool(known) and known["at"] == {t: now[t] for t in tables}
+        gone = known["gone"] if same else doomed(read, table, ids, references, keep)
         rows.clear()
-        rows.update(_told(gone))
+        rows.update(known["rows"] if same else _told(gone))
         return _deleted(read, gone)
 
     run = store.load(f"delete-{table}", changes)

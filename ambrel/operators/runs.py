@@ -159,8 +159,8 @@ class Store:
         df = self._at(self.snapshot()[1], table)
         return df if deleted or "deleted" not in df.columns else R.present(df)
 
-    def commit(self, make: Callable[[Callable[[str], DataFrame]], dict[str, DataFrame]], tries: int = 20) -> int:
-        """Write what ``make(read)`` gives, table -> rows, as one commit; its number.
+    def commit(self, make: Callable[[Callable[[str], DataFrame]], dict[str, DataFrame | str]], tries: int = 20) -> int:
+        """Write what ``make(read)`` gives, table -> rows or the name of a folder that has them, as one commit; its number.
 
         ``make`` is called again, with the tables as they are then, if another commit has changed what it read or writes.
         """
@@ -174,8 +174,8 @@ class Store:
                 return seen[table]
 
             made = make(read)
-            written = {table: f"{table}/{uuid.uuid4().hex}" for table in made}
-            _at_once([lambda df=df, t=table: df.write.parquet(f"{self.home}/{written[t]}") for table, df in made.items()])
+            written = {table: df if isinstance(df, str) else f"{table}/{uuid.uuid4().hex}" for table, df in made.items()}
+            _at_once([lambda df=df, t=table: df.write.parquet(f"{self.home}/{written[t]}") for table, df in made.items() if not isinstance(df, str)])
             now, base = n, tables
             while all(base.get(t) == tables.get(t) for t in {*seen, *written}):
                 value = base | {t: {"folder": f, "version": now + 1} for t, f in written.items()}
@@ -295,6 +295,8 @@ class Store:
     def rollback(self, run: str, force: bool = False) -> dict:
         """Put the before-image back, all tables at once.
 
+        A table that no later commit changed, and whose folder from before the run is still there, gets that folder again; of
+        the others the rows that the run touched are replaced.
         Only a succeeded run can be rolled back, and only before later runs on the same rows are, unless ``force`` is given:
         their rows then get the values from before this run too.
         """
@@ -304,9 +306,15 @@ class Store:
         if not force and (later := self.later_runs(run)):
             raise ValueError(f"later runs touch the same rows: {', '.join(later)}")
 
+        former = read_json(self.spark, f"{self.home}/_versions/{m['commit'] - 1:012d}.json") or {}
+
         def make(read):
-            out = {}
+            out, now = {}, self.snapshot()[1]
             for table, at in m["tables"].items():
+                if now[table]["version"] == m["commit"] and "_SUCCESS" in names_in(self.spark, f"{self.home}/{former[table]['folder']}"):
+                    read(table)  # so that the commit is made again if the table changes meanwhile
+                    out[table] = former[table]["folder"]
+                    continue
                 old, before = read(table), self.spark.read.parquet(f"{self.home}/{at['home']}/before")
                 out[table] = _untouched(old, self._change(at).touched()).unionByName(before.select(*old.columns))
             return out

@@ -107,9 +107,10 @@ def cascade_delete(spark, d):
     store, keep = Store(spark, new_place(spark, "store")), keeper(spark)
     store.commit(lambda read: tables)
     region = tables["region"].agg(F.max("id").alias("id"))
-    gone = D.cascade(store, "region", region, REFERENCES, keep)["rows"]
+    known = {}
+    gone = D.cascade(store, "region", region, REFERENCES, keep, known=known)["rows"]
     before = D.counts(store.read, gone)
-    done = D.cascade(store, "region", region, REFERENCES, keep, execute=True)
+    done = D.cascade(store, "region", region, REFERENCES, keep, execute=True, known=known)
     left = D.counts(store.read, gone).withColumnRenamed("n", "after")
     lost = [store.read(child).join(store.read(parent).select(F.col("id").alias(column)), column, "left_anti").select(F.lit(child).alias("table")) for child, column, parent in REFERENCES]
     orphans = lost[0]

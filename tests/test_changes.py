@@ -109,6 +109,29 @@ def test_cascade(spark, tmp_path):
     assert D.cascade(store, "a", one.limit(0), REFERENCES, keeper(spark))["rows"] == {"c": 0, "b": 0, "a": 0}
 
 
+def test_delete_takes_what_the_dry_run_found(spark, tmp_path, monkeypatch):
+    store, one, calls, find = small_store(spark, tmp_path), spark.createDataFrame([(1,)], "id long"), [], D.doomed
+    monkeypatch.setattr(D, "doomed", lambda *a: calls.append(1) or find(*a))
+    stale, known = {}, {}
+    D.cascade(store, "a", one, REFERENCES, keeper(spark), known=stale)
+    store.commit(lambda read: {"c": read("c").union(spark.createDataFrame([(24, None, 1)], "id long, b_id long, a_id long"))})
+    assert D.cascade(store, "a", one, REFERENCES, keeper(spark), known=known)["rows"] == {"c": 3, "b": 3, "a": 1} and len(calls) == 2
+    former = store.snapshot()[1]
+    done = D.cascade(store, "a", one, REFERENCES, keeper(spark), execute=True, known=known)
+    assert done["rows"] == {"c": 3, "b": 3, "a": 1} and len(calls) == 2 and ids(store, "a", "b", "c") == [[2, 3], [13, 14], [21, 23]]
+    # the tables' folders are put back as they were; of a table that was changed since, the rows
+    store.commit(lambda read: {"b": read("b").union(spark.createDataFrame([(15, 2, None)], "id long, a_id long, b_id long"))})
+    store.rollback(done["run"])
+    now = store.snapshot()[1]
+    assert {t: now[t]["folder"] == former[t]["folder"] for t in "abcd"} == {"a": True, "b": False, "c": True, "d": True}
+    assert ids(store, "a", "b", "c") == [[1, 2, 3], [10, 11, 12, 13, 14, 15], [20, 21, 22, 23, 24]]
+    again = D.cascade(store, "a", one, REFERENCES, keeper(spark), execute=True, known=stale)
+    assert again["rows"] == {"c": 3, "b": 3, "a": 1} and len(calls) == 3  # tables were changed, so what is known is of no use
+    store.vacuum()
+    store.rollback(again["run"])  # the former folders are gone, the before-image is not
+    assert ids(store, "a", "b", "c") == [[1, 2, 3], [10, 11, 12, 13, 14, 15], [20, 21, 22, 23, 24]]
+
+
 def test_keep_only_orphans_and_clear(spark, tmp_path):
     store, kept = small_store(spark, tmp_path), spark.createDataFrame([(2,)], "id long")
     assert D.keep_only(store, "a", kept, REFERENCES, keeper(spark), F.col("id") < 3)["rows"] == {"c": 2, "b": 3, "a": 1}
